@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from netvitals.functions.rules import DEGRADED_FROM, HEALTHY_FROM, half_up
+from netvitals.plans.timeframe import as_column
 
 INCIDENT_REGIONS, ALERT_REGIONS, LIVE_ALERTS = 8, 6, 12
 # Limits of incidents, alerts and metric tones.
@@ -125,7 +126,7 @@ def alerts(regions: DataFrame, as_of=None) -> DataFrame:
         F.lit("No critical issues detected across monitored regions.").alias("message"),
     )
     rows = raised.unionByName(all_clear)
-    return rows if as_of is None else rows.withColumn("ts", F.timestamp_seconds(as_of))
+    return rows if as_of is None else rows.withColumn("ts", F.timestamp_seconds(as_column(as_of)))
 
 
 def live_alerts(feed: DataFrame, n: int | None = LIVE_ALERTS) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Full-history views per region, country and hour."""
+"""Full-history views per region, country and hour.
+
+``outage_frequency``, ``hourly_health_trend`` and ``global_summary`` take probe rows or an
+:func:`hourly_cube` made from them.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,20 @@ from netvitals.functions.measures import mean, merge_sums, partial_sums
 from netvitals.schema import REGION_COLUMNS
 
 COUNTRY = ["country_code", "country_name"]
+CUBE_KEYS = ["hour", "region_id", "region_name", *COUNTRY, "outage_detected"]
+
+
+def hourly_cube(probes: DataFrame) -> DataFrame:
+    """Sums per hour, region and outage flag: one pass over the history, from which every
+    view here except the quantiles can be taken. Hours can be added or redone one by one."""
+    rows = probes.withColumn("hour", F.date_trunc("hour", "ts"))
+    return rows.groupBy(*CUBE_KEYS).agg(*partial_sums())
+
+
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Sums per key group of probe rows or of a cube."""
+    blocks = merge_sums() if "rtt_sum" in rows.columns else partial_sums()
+    return rows.groupBy(*keys).agg(*blocks)
 
 
 def latency_by_region(probes: DataFrame, accuracy: int = 10_000) -> DataFrame:
@@ -43,9 +61,7 @@ def outage_frequency(probes: DataFrame) -> DataFrame:
     Grouping by (country, region) first makes the distinct-region count a plain count
     over a few rows, instead of an expansion of every outage row.
     """
-    per_region = (
-        probes.filter("outage_detected").groupBy(*COUNTRY, "region_id").agg(*partial_sums())
-    )
+    per_region = _summed(probes.filter("outage_detected"), *COUNTRY, "region_id")
     return (
         per_region.groupBy(*COUNTRY)
         .agg(*merge_sums(), F.count("region_id").alias("affected_regions"))
@@ -63,10 +79,10 @@ def outage_frequency(probes: DataFrame) -> DataFrame:
 def hourly_health_trend(probes: DataFrame) -> DataFrame:
     """Averages per region and hour, in region and time order."""
     keys = ["hour", "region_id", "region_name", "country_code"]
+    is_cube = "rtt_sum" in probes.columns
+    rows = probes if is_cube else probes.withColumn("hour", F.date_trunc("hour", "ts"))
     return (
-        probes.withColumn("hour", F.date_trunc("hour", "ts"))
-        .groupBy(*keys)
-        .agg(*partial_sums())
+        _summed(rows, *keys)
         .select(
             *keys,
             mean("health").alias("avg_health_score"),
@@ -81,7 +97,7 @@ def hourly_health_trend(probes: DataFrame) -> DataFrame:
 def global_summary(probes: DataFrame) -> DataFrame:
     """One row of totals. Both distinct counts are taken over (country, region) groups, so
     the raw rows are aggregated once; nulls on empty input become 0."""
-    pairs = probes.groupBy("country_code", "region_id").agg(*partial_sums())
+    pairs = _summed(probes, "country_code", "region_id")
     totals = pairs.agg(
         *merge_sums(),
         F.count_distinct("country_code").alias("countries_monitored"),

@@ -25,9 +25,10 @@ def newest_rows(rows: DataFrame, key: str, newest: DataFrame) -> DataFrame:
 
 
 def pick_one(candidates: DataFrame, key: str) -> DataFrame:
-    """Among rows with one timestamp per key the greatest event_id wins."""
+    """Among rows with one timestamp per key the greatest event_id wins. The id is wrapped
+    because ``max_by`` skips rows whose order value is null."""
     payload = F.struct(*[c for c in candidates.columns if c != key])
-    chosen = candidates.groupBy(key).agg(F.max_by(payload, "event_id").alias("r"))
+    chosen = candidates.groupBy(key).agg(F.max_by(payload, F.struct("event_id")).alias("r"))
     return chosen.select(key, "r.*")
 
 

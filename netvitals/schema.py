@@ -63,7 +63,7 @@ LATENCY_DDL = REGION_DDL + """,
 BATCH_GLOBAL_DDL = """
     global_health_score DOUBLE, global_avg_latency DOUBLE, global_avg_loss DOUBLE,
     total_records BIGINT, total_outage_events BIGINT, countries_monitored BIGINT,
-    regions_monitored BIGINT
+    regions_monitored BIGINT, computed_at TIMESTAMP
 """
 
 MERGED_DDL = REGION_DDL + """,
@@ -71,13 +71,14 @@ MERGED_DDL = REGION_DDL + """,
     is_outage BOOLEAN, state STRING, status STRING,
     hist_health_score DOUBLE, hist_latency_ms DOUBLE, hist_packet_loss DOUBLE,
     impact_score DOUBLE,
-    data_sources STRUCT<speed_layer: BOOLEAN, batch_layer: BOOLEAN>
+    data_sources STRUCT<speed_layer: BOOLEAN, batch_layer: BOOLEAN>, merged_at TIMESTAMP
 """
 
 MERGED_GLOBAL_DDL = """
     global_health_score DOUBLE, global_avg_latency DOUBLE, global_avg_loss DOUBLE,
     active_outages BIGINT, regions_monitored BIGINT, total_records_batch BIGINT,
-    total_outage_events BIGINT, batch_health DOUBLE, speed_health DOUBLE, layer STRING
+    total_outage_events BIGINT, batch_health DOUBLE, speed_health DOUBLE, layer STRING,
+    merged_at TIMESTAMP
 """
 
 # What the latest-state table keeps per region, and the value an absent field gets.

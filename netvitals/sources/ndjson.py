@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvitals.schema import PROBE_DDL
+from netvitals.schema import PROBE_COLUMNS, PROBE_DDL
 
 CORRUPT = "_corrupt_record"
 
@@ -20,26 +20,29 @@ def with_time(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_probes(spark: SparkSession, path) -> DataFrame:
-    """Probe rows of NDJSON files under the fixed schema; broken lines are left out."""
-    return lenient_ndjson(spark, path)[0]
+def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(probe rows, rejected lines) of text lines, streaming or not.
+
+    Blank lines vanish; a line that is no JSON object or has a field of the wrong type is a
+    reject. Lines are parsed under the whole schema by an expression rather than by the JSON
+    reader, whose verdict on a line depends on which columns a query selects.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", f"{PROBE_DDL}, {CORRUPT} STRING", options)
+    rows = lines.filter(F.trim("value") != "").select("value", parsed.alias("p"))
+    ok = F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull()
+    good = rows.filter(ok).select(*[F.col(f"p.{c}") for c in PROBE_COLUMNS])
+    return with_time(good), rows.filter(~ok).select(F.col("value").alias("line"))
 
 
 def lenient_ndjson(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
-    """(probe rows, rejected lines). Blank lines vanish; a line that is no JSON or has a
-    field of the wrong type is a reject with its text, to be counted or kept.
+    """(probe rows, rejected lines) of NDJSON files under the fixed schema."""
+    return parse_lines(spark.read.text(path))
 
-    Rows are used without caching, so each action re-reads the text it needs.
-    """
-    raw = spark.read.schema(f"{PROBE_DDL}, {CORRUPT} STRING").json(
-        path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
-    )
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark does not allow a scan of the corrupt column alone, hence the second column
-    rejects = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("line"), F.col("event_id").alias("event_id_if_read")
-    )
-    return with_time(good), rejects
+
+def read_probes(spark: SparkSession, path) -> DataFrame:
+    """Probe rows of NDJSON files; broken lines are left out."""
+    return lenient_ndjson(spark, path)[0]
 
 
 def raw_table(spark: SparkSession, name: str, path: str) -> None:
@@ -59,13 +62,10 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def probe_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 200) -> DataFrame:
     """Stream of NDJSON files as they arrive. Progress is kept by the query's checkpoint, so
     nothing is lost between runs; a file transport stands in for a message broker."""
-    reader = spark.readStream.schema(f"{PROBE_DDL}, {CORRUPT} STRING").option(
-        "columnNameOfCorruptRecord", CORRUPT
-    )
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    rows = reader.json(path)
-    return with_time(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    return parse_lines(reader.text(path))[0]
 
 
 def dedup_events(rows: DataFrame, lateness: str | None = "10 minutes") -> DataFrame:

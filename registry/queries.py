@@ -53,6 +53,22 @@ def comparable(frame: DataFrame) -> DataFrame:
     return frame.select(*columns)
 
 
+_plans: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def source(spark: SparkSession, sf: str, build) -> DataFrame:
+    """The lazy plan of an input view, built once per session and folder. No data is kept:
+    every query that uses it scans the tables again."""
+    key = (id(spark), sf, build.__name__)
+    if key not in _plans or _plans[key][0] is not spark:
+        _plans[key] = (spark, build(spark, sf))
+    return _plans[key][1]
+
+
+def probes(spark: SparkSession, sf: str) -> DataFrame:
+    return source(spark, sf, tables.probes)
+
+
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return comparable(build(spark, sf_dir))
@@ -67,65 +83,65 @@ def query(build: Query) -> Query:
 
 @query
 def health_score(spark, sf):
-    return tables.probes(spark, sf).select("event_id", "health_score")
+    return probes(spark, sf).select("event_id", "health_score")
 
 
 @query
 def outage_flag(spark, sf):
-    p = tables.probes(spark, sf)
+    p = probes(spark, sf)
     return p.select("event_id", "state", "packet_loss_pct", "outage_detected")
 
 
 @query
 def status_band(spark, sf):
-    p = tables.probes(spark, sf)
+    p = probes(spark, sf)
     return p.select("event_id", rules.status_band(F.col("health_score")).alias("status"))
 
 
 @query
 def domain_region(spark, sf):
-    events = tables.raw_events(spark, sf).select(
+    events = source(spark, sf, tables.raw_events).select(
         "event_id", F.concat("event_type", F.lit(".example.org")).alias("domain")
     )
-    dims = tables.language_map(spark, sf), tables.regions(spark, sf)
+    dims = source(spark, sf, tables.language_map), source(spark, sf, tables.regions)
     return normalize.domain_region(events, *dims)
 
 
 @query
 def edit_activity(spark, sf):
-    dims = tables.language_map(spark, sf), tables.regions(spark, sf)
-    return normalize.edit_activity(tables.edit_events(spark, sf), *dims)
+    dims = source(spark, sf, tables.language_map), source(spark, sf, tables.regions)
+    return normalize.edit_activity(source(spark, sf, tables.edit_events), *dims)
 
 
 @query
 def ripe_normalize(spark, sf):
-    return normalize.atlas_probes(tables.atlas_results(spark, sf))
+    return normalize.atlas_probes(source(spark, sf, tables.atlas_results))
 
 
 @query
 def envelope_decode(spark, sf):
     ddl = "event_id BIGINT, user_id BIGINT, value DOUBLE"
-    return normalize.decode_envelopes(tables.envelopes(spark, sf), ddl)[0]
+    return normalize.decode_envelopes(source(spark, sf, tables.envelopes), ddl)[0]
 
 
 @query
 def feed_event(spark, sf):
-    return feed.feed_event(tables.probes(spark, sf))
+    return feed.feed_event(probes(spark, sf))
 
 
 @query
 def feed_search(spark, sf):
-    return feed.feed_search(feed.feed_event(tables.probes(spark, sf)), "COUNTRY 3")
+    return feed.feed_search(feed.feed_event(probes(spark, sf)), "COUNTRY 3")
 
 
 @query
 def outage_alert_stream(spark, sf):
-    return feed.outage_alert_stream(tables.probes(spark, sf))
+    return feed.outage_alert_stream(probes(spark, sf))
 
 
 @query
 def metrics_long(spark, sf):
-    return storage.metrics_long(tables.probes(spark, sf))
+    return storage.metrics_long(probes(spark, sf))
 
 
 # ---- history ----------------------------------------------------------------------------
@@ -133,88 +149,88 @@ def metrics_long(spark, sf):
 
 @query
 def latency_by_region(spark, sf):
-    return history.latency_by_region(tables.probes(spark, sf))
+    return history.latency_by_region(probes(spark, sf))
 
 
 @query
 def outage_frequency(spark, sf):
-    return history.outage_frequency(tables.probes(spark, sf))
+    return history.outage_frequency(probes(spark, sf))
 
 
 @query
 def hourly_health_trend(spark, sf):
-    return history.hourly_health_trend(tables.probes(spark, sf))
+    return history.hourly_health_trend(probes(spark, sf))
 
 
 @query
 def global_summary(spark, sf):
-    return history.global_summary(tables.probes(spark, sf))
+    return history.global_summary(probes(spark, sf))
 
 
 @query
 def country_rollup(spark, sf):
-    return history.country_rollup(tables.probes(spark, sf))
+    return history.country_rollup(probes(spark, sf))
 
 
 @query
 def region_rollup(spark, sf):
-    return history.region_rollup(tables.probes(spark, sf))
+    return history.region_rollup(probes(spark, sf))
 
 
 @query
 def rank_percentiles(spark, sf):
-    return ranks.rank_percentiles(tables.probes(spark, sf), "region_id", "avg_rtt_ms")
+    return ranks.rank_percentiles(probes(spark, sf), "region_id", "avg_rtt_ms")
 
 
 @query
 def top_affected(spark, sf):
-    p = tables.probes(spark, sf)
+    p = probes(spark, sf)
     return history.top_affected(history.latency_by_region(p), history.outage_frequency(p))
 
 
 @query
 def batch_summary(spark, sf):
-    return sql_views.batch_summary(spark, tables.probes(spark, sf))
+    return sql_views.batch_summary(spark, probes(spark, sf))
 
 
 @query
 def q_top_affected(spark, sf):
-    return sql_views.run_report(spark, "top_affected", tables.probes(spark, sf))
+    return sql_views.run_report(spark, "top_affected", probes(spark, sf))
 
 
 @query
 def q_latency_trend(spark, sf):
-    return sql_views.run_report(spark, "latency_trend", tables.probes(spark, sf), country="C3")
+    return sql_views.run_report(spark, "latency_trend", probes(spark, sf), country="C3")
 
 
 @query
 def q_global_trend(spark, sf):
-    return sql_views.run_report(spark, "global_trend", tables.probes(spark, sf))
+    return sql_views.run_report(spark, "global_trend", probes(spark, sf))
 
 
 @query
 def q_outage_hotspots(spark, sf):
-    return sql_views.run_report(spark, "outage_hotspots", tables.probes(spark, sf))
+    return sql_views.run_report(spark, "outage_hotspots", probes(spark, sf))
 
 
 @query
 def q_dataset_span(spark, sf):
-    return sql_views.run_report(spark, "dataset_span", tables.probes(spark, sf))
+    return sql_views.run_report(spark, "dataset_span", probes(spark, sf))
 
 
 @query
 def outage_episodes(spark, sf):
-    return episodes.outage_episodes(tables.probes(spark, sf))
+    return episodes.outage_episodes(probes(spark, sf))
 
 
 @query
 def outage_duration(spark, sf):
-    return episodes.outage_duration(episodes.outage_episodes(tables.probes(spark, sf)))
+    return episodes.outage_duration(episodes.outage_episodes(probes(spark, sf)))
 
 
 @query
 def rate_drop(spark, sf):
-    return episodes.rate_drop(tables.probes(spark, sf))
+    return episodes.rate_drop(probes(spark, sf))
 
 
 # ---- storage ----------------------------------------------------------------------------
@@ -222,22 +238,22 @@ def rate_drop(spark, sf):
 
 @query
 def hourly_raw(spark, sf):
-    return storage.hourly_raw(tables.probes(spark, sf))
+    return storage.hourly_raw(probes(spark, sf))
 
 
 @query
 def retention_30d(spark, sf):
     """Retention ten days after the newest event, so that a part of the data is old."""
     as_of = tables.newest_event(spark, sf) + RETENTION_SHIFT_S
-    kept = storage.retained(tables.probes(spark, sf), as_of)
+    kept = storage.retained(probes(spark, sf), as_of)
     return kept.select("event_id", "ts", "unix_ts", "region_id")
 
 
 @query
 def dedup_events(spark, sf):
     """Every record delivered twice, outage records three times."""
-    p = tables.probes(spark, sf).select("event_id", "ts", "region_id", "state", "avg_rtt_ms")
-    again = tables.probes(spark, sf).filter("outage_detected").select(*p.columns)
+    p = probes(spark, sf).select("event_id", "ts", "region_id", "state", "avg_rtt_ms")
+    again = probes(spark, sf).filter("outage_detected").select(*p.columns)
     return ndjson.dedup_events(p.unionByName(p).unionByName(again))
 
 
@@ -246,7 +262,7 @@ def dedup_events(spark, sf):
 
 def _week_window(spark, sf):
     return speed.trailing_window(
-        tables.probes(spark, sf), tables.newest_event(spark, sf), WEEK_S
+        probes(spark, sf), tables.newest_event(spark, sf), WEEK_S
     )
 
 
@@ -257,50 +273,50 @@ def trailing_window(spark, sf):
 
 @query
 def microbatch_aggregates(spark, sf):
-    return speed.microbatch_aggregates(tables.probes(spark, sf))
+    return speed.microbatch_aggregates(probes(spark, sf))
 
 
 @query
 def sliding_windows(spark, sf):
-    return speed.sliding_windows(tables.probes(spark, sf))
+    return speed.sliding_windows(probes(spark, sf))
 
 
 @query
 def speed_global(spark, sf):
-    return speed.speed_global(speed.sliding_windows(tables.probes(spark, sf)))
+    return speed.speed_global(speed.sliding_windows(probes(spark, sf)))
 
 
 @query
 def kpi_history(spark, sf):
-    windows = speed.sliding_windows(tables.probes(spark, sf))
+    windows = speed.sliding_windows(probes(spark, sf))
     return speed.kpi_history(speed.speed_global(windows))
 
 
 @query
 def trending_issues(spark, sf):
-    p, as_of = tables.probes(spark, sf), tables.newest_event(spark, sf)
+    p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     return speed.trending_issues(p, as_of, WEEK_S)
 
 
 @query
 def current_state(spark, sf):
-    return latest.latest_per_key(tables.probes(spark, sf))
+    return latest.latest_per_key(probes(spark, sf))
 
 
 @query
 def live_global(spark, sf):
-    return speed.live_global(latest.latest_per_key(tables.probes(spark, sf)))
+    return speed.live_global(latest.latest_per_key(probes(spark, sf)))
 
 
 @query
 def normalized_regions(spark, sf):
-    return serving.normalized_regions(latest.latest_per_key(tables.probes(spark, sf)))
+    return serving.normalized_regions(latest.latest_per_key(probes(spark, sf)))
 
 
 @query
 def state_upsert_ttl(spark, sf):
     """State of everything but the last day, then the last day applied to it."""
-    p, as_of = tables.probes(spark, sf), tables.newest_event(spark, sf)
+    p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     day_ago = as_of - 86_400
     before, last_day = p.filter(F.col("unix_ts") < day_ago), p.filter(F.col("unix_ts") >= day_ago)
     stored = latest.upsert_state(None, before, day_ago, STATE_WINDOW_S)
@@ -309,14 +325,14 @@ def state_upsert_ttl(spark, sf):
 
 @query
 def live_events(spark, sf):
-    return feed.live_events(feed.feed_event(tables.probes(spark, sf)))
+    return feed.live_events(feed.feed_event(probes(spark, sf)))
 
 
 # ---- serving ----------------------------------------------------------------------------
 
 
 def _merged(spark, sf):
-    p, as_of = tables.probes(spark, sf), tables.newest_event(spark, sf)
+    p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     window = speed.trailing_window(p, as_of, MERGE_WINDOW_S)
     return serving.merge_regions(window, history.latency_by_region(p))
 
@@ -337,7 +353,7 @@ def merge_regions(spark, sf):
 
 @query
 def merge_global(spark, sf):
-    p, as_of = tables.probes(spark, sf), tables.newest_event(spark, sf)
+    p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     window = settle(speed.trailing_window(p, as_of, MERGE_WINDOW_S), "window_view")
     regions = serving.merge_regions(window, history.latency_by_region(p))
     totals = settle(history.global_summary(p), "batch_totals")
@@ -352,13 +368,13 @@ def top_affected_regions(spark, sf):
 @query
 def event_region_context(spark, sf):
     return feed.event_region_context(
-        feed.feed_event(tables.probes(spark, sf)), _merged(spark, sf)
+        feed.feed_event(probes(spark, sf)), _merged(spark, sf)
     )
 
 
 @query
 def feed_counters(spark, sf):
-    events = feed.feed_event(tables.probes(spark, sf))
+    events = feed.feed_event(probes(spark, sf))
     return feed.feed_counters(events, _stored_merged(spark, sf))
 
 
@@ -375,7 +391,7 @@ def incidents(spark, sf):
 @query
 def incident_timeline(spark, sf):
     found = alerts.incidents(_stored_merged(spark, sf))
-    return alerts.incident_timeline(found, episodes.outage_episodes(tables.probes(spark, sf)))
+    return alerts.incident_timeline(found, episodes.outage_episodes(probes(spark, sf)))
 
 
 @query
@@ -388,5 +404,5 @@ QUERIES["alerts"] = QUERIES.pop("alert_list")
 
 @query
 def alert_dedupe(spark, sf):
-    live = alerts.live_alerts(feed.feed_event(tables.probes(spark, sf)), None)
+    live = alerts.live_alerts(feed.feed_event(probes(spark, sf)), None)
     return alerts.alert_dedupe(live, alerts.alerts(_stored_merged(spark, sf)))
