@@ -33,8 +33,10 @@ def _summed(rows: DataFrame, *keys: str) -> DataFrame:
 def latency_by_region(probes: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """Latency statistics per region over everything given, slowest region first.
 
-    p50 and p95 come from one quantile sketch per region, which merges map-side like the
-    sums do. Below ``accuracy`` values per region the quantiles are exact.
+    p50 and p95 come from one quantile sketch per region in the same pass, which merges
+    map-side like the sums do. Up to ``accuracy`` values per region they are exact; beyond
+    that their rank is off by at most n / ``accuracy``. ``ranks.rank_percentiles`` gives
+    exact ones at any size, for a second pass.
     """
     quantiles = F.percentile_approx("avg_rtt_ms", [0.5, 0.95], accuracy)
     return (

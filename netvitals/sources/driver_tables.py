@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from netvitals.functions import rules
 from netvitals.plans.session import tune
+from netvitals.plans.shared import settle
 
 
 # Given, not inferred: inference would run a job per table just to read a footer.
@@ -35,12 +36,9 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
-def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region dimension: one row per nation."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+def _region_columns() -> list[Column]:
     key = F.col("n_nationkey")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        key.alias("region_key"),
+    return [
         F.col("n_name").alias("region_id"),
         _cat("Region ", F.col("n_name")).alias("region_name"),
         _cat("C", _text(key % 10)).alias("country_code"),
@@ -50,7 +48,15 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key * 14 - 170).cast("double").alias("lon"),
         F.lit("").alias("flag"),
         _cat("ISP", _text(key % 7)).alias("provider"),
-    )
+    ]
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region dimension: one row per nation, as a stored table of known size."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("n_nationkey").alias("region_key")
+    return settle(joined.select(key, *_region_columns()), "region_dim")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +71,13 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def probes_from(events: DataFrame, dim: DataFrame) -> DataFrame:
-    """Probe rows from events; usable on a stream of events as well."""
+def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probe rows: events with their nation and region.
+
+    The two dimensions are joined one after the other as plain file scans. Joined with each
+    other first, their estimated size is a product, and Spark would shuffle the events by
+    nation instead of broadcasting a few rows.
+    """
     k = F.col("k")
     state = (
         F.when(F.col("event_type") != "error", "healthy")
@@ -74,15 +85,20 @@ def probes_from(events: DataFrame, dim: DataFrame) -> DataFrame:
         .when(k % 4 == 1, "warning")
         .otherwise("degraded")
     )
-    joined = events.withColumn("state", state).join(
-        dim, F.col("user_id") % 25 == F.col("region_key")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    joined = (
+        raw_events(spark, sf_dir)
+        .withColumn("state", state)
+        .join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    user = _text(F.col("user_id") % 5 + 1)
     measured = joined.select(
         "event_id",
         "ts",
         F.unix_seconds("ts").alias("unix_ts"),
-        _cat("probe-", F.col("region_id"), "-", _text(F.col("user_id") % 5 + 1)).alias("probe_id"),
-        *[c for c in dim.columns if c != "region_key"],
+        _cat("probe-", F.col("n_name"), "-", user).alias("probe_id"),
+        *_region_columns(),
         (F.col("value") * 4).alias("avg_rtt_ms"),
         (F.col("value") * 3).alias("min_rtt_ms"),
         (F.col("value") * 6).alias("max_rtt_ms"),
@@ -102,10 +118,6 @@ def probes_from(events: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return probes_from(raw_events(spark, sf_dir), regions(spark, sf_dir))
-
-
 def newest_event(spark: SparkSession, sf_dir: str) -> Column:
     """Epoch second of the newest event, as a scalar subquery over one column."""
     ts = F.col("ts").cast("timestamp")
@@ -137,9 +149,9 @@ def language_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     dim = regions(spark, sf_dir)
-    return dim.select(F.explode(pairs).alias("p"), "region_id", "region_key").filter(
-        "p.key = region_key"
-    ).select("p.language", "region_id")
+    mapped = dim.select(F.explode(pairs).alias("p"), "region_id", "region_key")
+    mapped = mapped.filter("p.key = region_key").select("p.language", "region_id")
+    return settle(mapped, "language_dim")
 
 
 def atlas_results(spark: SparkSession, sf_dir: str) -> DataFrame:
