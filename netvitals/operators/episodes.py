@@ -18,7 +18,8 @@ def outage_episodes(probes: DataFrame, chunk_s: int = 3600) -> DataFrame:
     """
     outage = F.coalesce("outage_detected", F.lit(False))
     rows = probes.select(
-        "region_id",
+        # never null, so that the join below is a plain one and keeps the partitioning
+        F.coalesce("region_id", F.lit("unknown")).alias("region_id"),
         "country_code",
         "country_name",
         "ts",
@@ -53,8 +54,7 @@ def outage_episodes(probes: DataFrame, chunk_s: int = 3600) -> DataFrame:
         pieces.filter("records > 0")
         .join(
             offsets,
-            F.col("region_id").eqNullSafe(F.col("_region"))
-            & (F.col("chunk") == F.col("_chunk")),
+            (F.col("region_id") == F.col("_region")) & (F.col("chunk") == F.col("_chunk")),
         )
         .withColumn("run", F.col("good_before") + F.col("good_here"))
     )

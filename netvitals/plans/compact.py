@@ -4,22 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netvitals.operators.storage import retained, with_hour
+from netvitals.operators.storage import retained, time_ordered, with_hour
 from netvitals.schema import PROBE_COLUMNS
 from netvitals.sources.ndjson import dedup_events, read_probes
 
 
 def write_history(rows: DataFrame, path: str, records_per_file: int = 5_000_000) -> None:
-    """Replaces the hours that occur in ``rows``.
-
-    Range partitioning by (hour, unix_ts) cuts a busy hour into several tasks and gives each
-    file a narrow time range, which later scans skip by its statistics.
-    """
+    """Replaces the hours that occur in ``rows``."""
+    hourly = with_hour(rows).select(*PROBE_COLUMNS, "ts", "hour")
     (
-        with_hour(rows)
-        .select(*PROBE_COLUMNS, "ts", "hour")
-        .repartitionByRange("hour", "unix_ts")
-        .sortWithinPartitions("hour", "unix_ts")
+        time_ordered(hourly)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", records_per_file)

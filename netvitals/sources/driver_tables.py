@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from netvitals.functions import rules
 from netvitals.plans.session import tune
 from netvitals.plans.shared import settle
+from netvitals.schema import PROBE_COLUMNS
 
 
 # Given, not inferred: inference would run a job per table just to read a footer.
@@ -59,9 +60,16 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(joined.select(key, *_region_columns()), "region_dim")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Events with an instant instead of a zone-less time, and the property ``k``."""
-    return table(spark, sf_dir, "events").select(
+    if stream:
+        tune(spark)
+        # written as a pattern: the stream source wants a folder or a pattern, not one file
+        pattern = f"{sf_dir}/events.parque[t]"
+        events = spark.readStream.schema(SCHEMAS["events"]).parquet(pattern)
+    else:
+        events = table(spark, sf_dir, "events")
+    return events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
@@ -71,8 +79,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probe rows: events with their nation and region.
+def probes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """Probe rows: events (table or stream) with their nation and region.
 
     The two dimensions are joined one after the other as plain file scans. Joined with each
     other first, their estimated size is a product, and Spark would shuffle the events by
@@ -87,7 +95,7 @@ def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     joined = (
-        raw_events(spark, sf_dir)
+        raw_events(spark, sf_dir, stream)
         .withColumn("state", state)
         .join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -179,3 +187,12 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 1, "aws:sqs").alias("eventSource"),
         F.when(kind == 1, body).alias("body"),
     )
+
+
+def ndjson_copy(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The probe rows as NDJSON files, with ISO times and text ids."""
+    rows = probes(spark, sf_dir)
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    known = [c for c in PROBE_COLUMNS if c in rows.columns and c != "event_id"]
+    lines = rows.select(F.col("event_id").cast("string"), iso.alias("timestamp"), *known)
+    lines.write.json(path)

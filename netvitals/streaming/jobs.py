@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from netvitals import schema
 from netvitals.functions.rounding import shown
 from netvitals.operators import feed, latest, speed
-from netvitals.operators.storage import with_hour
+from netvitals.operators.storage import time_ordered, with_hour
 from netvitals.plans.store import read_version, write_version
 EVERY = "60 seconds"
 
@@ -29,6 +29,15 @@ def paced(writer: DataStreamWriter, checkpoint: str, every: str | None = EVERY):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def as_probe_rows(rows: DataFrame) -> DataFrame:
+    """Any probe-like rows in the full probe layout; absent columns are null."""
+    names = dict(field.split() for field in schema.PROBE_DDL.split(","))
+    columns = [
+        (F.col(n) if n in rows.columns else F.lit(None)).cast(t).alias(n) for n, t in names.items()
+    ]
+    return rows.select(*columns, "ts")
+
+
 def raw_history(stream: DataFrame, path: str) -> DataStreamWriter:
     """Appends records to the hourly history; the file sink commits each batch once."""
     rows = with_hour(stream).select(*schema.PROBE_COLUMNS, "ts", "hour")
@@ -116,7 +125,7 @@ def append_batch(batch: DataFrame, root: str, batch_id: int) -> None:
     """Raw copy of a batch under hour=/batch=; a rerun replaces its own folders only."""
     rows = with_hour(batch).withColumn("batch", F.lit(batch_id).cast("bigint"))
     (
-        rows.select(*schema.PROBE_COLUMNS, "ts", "hour", "batch")
+        time_ordered(rows.select(*schema.PROBE_COLUMNS, "ts", "hour", "batch"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("hour", "batch")

@@ -597,4 +597,24 @@ ORACLES: dict[str, str] = {
           FROM both_lists)
         WHERE rn = 1"""
     ),
+    "read_probes": sql(
+        """SELECT CAST(event_id AS VARCHAR) AS event_id, ts, unix_ts, region_id, avg_rtt_ms,
+               hop_count, is_reachable, outage_detected, health_score, state FROM probes""",
+        "avg_rtt_ms", "health_score",
+    ),
+    "compact_history": sql(
+        """SELECT strftime(ts, '%Y%m%d_%H') AS hour, count(*) AS records,
+               avg(health_score) AS avg_health_score
+        FROM probes GROUP BY 1""",
+        "avg_health_score",
+    ),
+    # the watermark is ten minutes behind the newest event
+    "stream_sliding_windows": sql(
+        f"""{SLIDING} ---
+        SELECT * FROM windows
+        WHERE window_end + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM ev)""",
+        *WINDOW_DOUBLES,
+    ),
 }
+ORACLES["stream_outage_alerts"] = ORACLES["outage_alert_stream"]
+ORACLES["stream_live_state"] = ORACLES["state_upsert_ttl"]

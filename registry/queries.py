@@ -24,10 +24,11 @@ from netvitals.operators import (
     speed,
     storage,
 )
-from netvitals.plans import sql_views
-from netvitals.plans.shared import settle
+from netvitals.plans import compact, serve, sql_views
+from netvitals.plans.shared import fresh_path, settle
 from netvitals.sources import driver_tables as tables
 from netvitals.sources import ndjson, normalize
+from netvitals.streaming import jobs
 
 WEEK_S = 7 * 86_400
 MERGE_WINDOW_S = 7_200
@@ -406,3 +407,66 @@ QUERIES["alerts"] = QUERIES.pop("alert_list")
 def alert_dedupe(spark, sf):
     live = alerts.live_alerts(feed.feed_event(probes(spark, sf)), None)
     return alerts.alert_dedupe(live, alerts.alerts(_stored_merged(spark, sf)))
+
+
+# ---- files and streams ------------------------------------------------------------------
+
+
+def _ndjson(spark, sf):
+    path = fresh_path(spark, "ndjson")
+    tables.ndjson_copy(spark, sf, path)
+    return path
+
+
+@query
+def read_probes(spark, sf):
+    """Probe rows written as NDJSON and read back under the fixed schema."""
+    rows = ndjson.read_probes(spark, _ndjson(spark, sf))
+    return rows.select(
+        "event_id", "ts", "unix_ts", "region_id", "avg_rtt_ms", "hop_count", "is_reachable",
+        "outage_detected", "health_score", "state",
+    )
+
+
+@query
+def compact_history(spark, sf):
+    """NDJSON compacted to hourly Parquet; what each hour holds."""
+    path = fresh_path(spark, "history")
+    compact.compact_history(spark, _ndjson(spark, sf), path)
+    stored = ndjson.read_history(spark, path)
+    return stored.groupBy("hour").agg(
+        F.count(F.lit(1)).alias("records"), F.avg("health_score").alias("avg_health_score")
+    )
+
+
+def _run(spark, writer) -> None:
+    query_ = jobs.paced(writer, fresh_path(spark, "progress"), every=None).start()
+    query_.awaitTermination()
+
+
+@query
+def stream_sliding_windows(spark, sf):
+    """The events table as a stream: every window its watermark closes."""
+    path = fresh_path(spark, "windows")
+    _run(spark, jobs.sliding_window_table(tables.probes(spark, sf, stream=True), path))
+    return spark.read.parquet(path)
+
+
+@query
+def stream_outage_alerts(spark, sf):
+    """The push stream of outage records, kept in a table."""
+    path = fresh_path(spark, "alerts")
+    alerts_ = feed.outage_alert_stream(tables.probes(spark, sf, stream=True))
+    _run(spark, alerts_.writeStream.format("parquet").option("path", path))
+    return spark.read.parquet(path)
+
+
+@query
+def stream_live_state(spark, sf):
+    """The live views kept by the speed layer over the events as a stream: latest state."""
+    root = fresh_path(spark, "live")
+    rows = tables.probes(spark, sf, stream=True).select(
+        "*", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp")
+    )
+    _run(spark, jobs.speed_layer(jobs.as_probe_rows(rows), root, STATE_WINDOW_S))
+    return serve.live_state(spark, root)
