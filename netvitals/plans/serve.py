@@ -51,7 +51,8 @@ def serve_view(
     """A view by its public name, from the best source that has rows.
 
     Regions come from the merged view, else the window view, else the latest state; with
-    ``prefer_live`` the latest state is asked first.
+    ``prefer_live`` the latest state is asked first. Ranked views are ordered here, since
+    stored files have no order.
     """
     state = live_state(spark, root, now)
 
@@ -68,22 +69,24 @@ def serve_view(
 
     if name == "map-data":
         window = _speed(spark, root, "window_aggregates", schema.WINDOW_DDL)
-        return best(live_regions(), merged("merged_regions", schema.MERGED_DDL), window)
+        found = best(live_regions(), merged("merged_regions", schema.MERGED_DDL), window)
+        return found.orderBy(F.desc("impact_score"), "region_id")
     if name == "global":
         kpis = _speed(spark, root, "speed_global", schema.SPEED_GLOBAL_DDL)
         stored = merged("merged_global", schema.MERGED_GLOBAL_DDL)
         return best(speed.live_global(state), stored, kpis)
     if name == "top-affected":
         top = serving.top_affected_regions(live_regions())
-        return best(top, merged("top_affected", schema.MERGED_DDL)).limit(10)
+        return serving.top_affected_regions(best(top, merged("top_affected", schema.MERGED_DDL)))
     if name == "history":
-        return _speed(spark, root, "history", schema.HISTORY_DDL)
+        return _speed(spark, root, "history", schema.HISTORY_DDL).orderBy(F.desc("ts"))
     if name == "live-events":
         return feed.live_events(_speed(spark, root, "live_events", schema.FEED_DDL))
     if name == "batch-summary":
         return _batch(spark, root, "global_summary", schema.BATCH_GLOBAL_DDL)
     if name == "window-aggregates":
-        return _speed(spark, root, "window_aggregates", schema.WINDOW_DDL)
+        window = _speed(spark, root, "window_aggregates", schema.WINDOW_DDL)
+        return window.orderBy("avg_health_score", "region_id")
     if name == "observability":
         return alerts.observability_summary(live_regions())
     if name == "incidents":

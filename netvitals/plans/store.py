@@ -19,14 +19,15 @@ def write_view(frame: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_version(frame: DataFrame, path: str, batch_id: int) -> None:
     """Stores ``frame`` as the version of ``batch_id``. A marker row makes an empty version
-    known as such."""
+    known as such. Meant for views of one row per region or fewer, hence one file."""
     stamped = frame.withColumns({"_batch": F.lit(batch_id).cast("bigint"), "_marker": F.lit(False)})
     marker = frame.sparkSession.range(1).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in frame.schema.fields],
         F.lit(batch_id).cast("bigint").alias("_batch"),
         F.lit(True).alias("_marker"),
     )
-    stamped.unionByName(marker).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+    rows = stamped.unionByName(marker).coalesce(1)
+    rows.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
 
 def read_version(spark: SparkSession, path: str, ddl: str, before: int | None = None) -> DataFrame:

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -20,6 +22,7 @@ from netvitals.functions.rounding import shown
 from netvitals.operators import feed, latest, speed
 from netvitals.operators.storage import time_ordered, with_hour
 from netvitals.plans.store import read_version, write_version
+from netvitals.plans.timeframe import between
 EVERY = "60 seconds"
 
 
@@ -61,19 +64,36 @@ def kpi_table(stream: DataFrame, path: str, **window) -> DataStreamWriter:
 def flush_speed(probes: DataFrame, root: str, batch_id: int, as_of: int, window_s: int) -> None:
     """Window, KPI and KPI-history views as of a moment, from rows that cover the window."""
     spark = probes.sparkSession
-    window = speed.trailing_window(probes, as_of, window_s, settled=False)
-    write_version(shown(window, "window_aggregates"), f"{root}/speed/window_aggregates", batch_id)
-    stored = read_version(spark, f"{root}/speed/window_aggregates", schema.WINDOW_DDL)
-    kpis = shown(speed.speed_global(stored), "speed_global")
-    write_version(kpis, f"{root}/speed/speed_global", batch_id)
-    kpis = read_version(spark, f"{root}/speed/speed_global", schema.SPEED_GLOBAL_DDL)
-    ring_path = f"{root}/speed/history"
-    older = read_version(spark, ring_path, schema.HISTORY_DDL, before=batch_id)
-    # the same moment flushed again replaces its row
-    older = older.filter(F.col("ts") != F.timestamp_seconds(F.lit(as_of)))
-    ring = older.unionByName(speed.kpi_history(kpis, 1))
-    newest = ring.orderBy(F.desc("ts")).limit(speed.HISTORY_LEN)
-    write_version(newest, ring_path, batch_id)
+    # the rows of one window, read several times below
+    recent = between(probes, as_of, window_s).persist()
+    window = shown(
+        speed.trailing_window(recent, as_of, window_s, settled=False), "window_aggregates"
+    ).persist()
+    try:
+        kpis = shown(speed.speed_global(window), "speed_global")
+        ring_path = f"{root}/speed/history"
+        older = read_version(spark, ring_path, schema.HISTORY_DDL, before=batch_id)
+        # the same moment flushed again replaces its row
+        older = older.filter(F.col("ts") != F.timestamp_seconds(F.lit(as_of)))
+        ring = older.unionByName(speed.kpi_history(kpis, 1))
+        newest = ring.orderBy(F.desc("ts")).limit(speed.HISTORY_LEN)
+        write_version(window, f"{root}/speed/window_aggregates", batch_id)
+        together(
+            spark,
+            lambda: write_version(kpis, f"{root}/speed/speed_global", batch_id),
+            lambda: write_version(newest, ring_path, batch_id),
+        )
+    finally:
+        window.unpersist()
+        recent.unpersist()
+
+
+def together(spark: SparkSession, *actions: Callable[[], None]) -> None:
+    """Runs independent Spark actions at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        for action in running:
+            action.result()
 
 
 def apply_batch(
@@ -95,7 +115,9 @@ def apply_batch(
     stored_feed = read_version(spark, feed_path, schema.FEED_DDL, before=batch_id)
     batch = batch.persist()
     try:
-        if batch.isEmpty():
+        # one value; the event clock unless the caller sets another
+        newest_ts = batch.agg(F.max("unix_ts")).first()[0]
+        if newest_ts is None:
             # versions must not skip a batch id: carry the rings and the state over
             write_version(stored_state, state_path, batch_id)
             write_version(stored_feed, feed_path, batch_id)
@@ -103,20 +125,27 @@ def apply_batch(
             ring = read_version(spark, ring_path, schema.HISTORY_DDL, before=batch_id)
             write_version(ring, ring_path, batch_id)
             return
-        # one value; the event clock unless the caller sets another
-        as_of = now(batch) if now else batch.agg(F.max("unix_ts")).first()[0]
+        as_of = now(batch) if now else newest_ts
+
+        def window_views() -> None:
+            append_batch(batch, root, batch_id)
+            recent = recent_batches(spark, root, as_of, window_s)
+            flush_speed(recent, root, batch_id, as_of, window_s)
 
-        append_batch(batch, root, batch_id)
-        aggregates = shown(speed.microbatch_aggregates(batch, settled=False), "lambda_aggs")
-        aggregates.write.mode("overwrite").parquet(f"{root}/speed/lambda_aggs/batch={batch_id}")
+        def batch_view() -> None:
+            rows = shown(speed.microbatch_aggregates(batch, settled=False), "lambda_aggs")
+            rows.write.mode("overwrite").parquet(f"{root}/speed/lambda_aggs/batch={batch_id}")
 
-        state = latest.upsert_state(stored_state, batch, as_of, window_s, settled=False)
-        write_version(state, state_path, batch_id)
+        def state_view() -> None:
+            state = latest.upsert_state(stored_state, batch, as_of, window_s, settled=False)
+            write_version(state, state_path, batch_id)
 
-        newest = feed.live_events(feed.feed_event(batch))
-        write_version(feed.live_events(stored_feed.unionByName(newest)), feed_path, batch_id)
+        def feed_view() -> None:
+            newest = feed.live_events(feed.feed_event(batch))
+            rows = feed.live_events(stored_feed.unionByName(newest))
+            write_version(rows, feed_path, batch_id)
 
-        flush_speed(recent_batches(spark, root, as_of, window_s), root, batch_id, as_of, window_s)
+        together(spark, window_views, batch_view, state_view, feed_view)
     finally:
         batch.unpersist()
 

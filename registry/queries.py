@@ -58,8 +58,8 @@ _plans: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def source(spark: SparkSession, sf: str, build) -> DataFrame:
-    """The lazy plan of an input view, built once per session and folder. No data is kept:
-    every query that uses it scans the tables again."""
+    """The lazy plan of an input view, built once per session and folder. Only views that
+    write nothing qualify, so no data is kept: every query scans the tables again."""
     key = (id(spark), sf, build.__name__)
     if key not in _plans or _plans[key][0] is not spark:
         _plans[key] = (spark, build(spark, sf))
@@ -104,13 +104,13 @@ def domain_region(spark, sf):
     events = source(spark, sf, tables.raw_events).select(
         "event_id", F.concat("event_type", F.lit(".example.org")).alias("domain")
     )
-    dims = source(spark, sf, tables.language_map), source(spark, sf, tables.regions)
+    dims = tables.language_map(spark, sf), tables.regions(spark, sf)
     return normalize.domain_region(events, *dims)
 
 
 @query
 def edit_activity(spark, sf):
-    dims = source(spark, sf, tables.language_map), source(spark, sf, tables.regions)
+    dims = tables.language_map(spark, sf), tables.regions(spark, sf)
     return normalize.edit_activity(source(spark, sf, tables.edit_events), *dims)
 
 
