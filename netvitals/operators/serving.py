@@ -24,12 +24,13 @@ def _prefer(first: Column, second: Column, default) -> Column:
     return F.coalesce(first, second, F.lit(default) if not isinstance(default, Column) else default)
 
 
-def merge_regions(speed: DataFrame, batch: DataFrame) -> DataFrame:
+def merge_regions(speed: DataFrame, batch: DataFrame, ordered: bool = True) -> DataFrame:
     """Every region of either side once: current figures from the speed side, history from
     the batch side, each filled from the other where it is absent; worst impact first.
 
     The speed side holds one row per region. A region whose metadata changed has several
     rows in the batch view, which lists slowest first; the last of them counts.
+    ``ordered=False`` saves the sort when the rows are only aggregated or ranked further.
     """
     s, b = speed.alias("s"), one_per_region(batch).alias("b")
     both = s.join(b, F.col("s.region_id") == F.col("b.region_id"), "full_outer")
@@ -43,7 +44,7 @@ def merge_regions(speed: DataFrame, batch: DataFrame) -> DataFrame:
     latency = _prefer(F.col("s.avg_latency_ms"), F.col("b.avg_latency_ms"), DEFAULT_LATENCY_MS)
     loss = _prefer(F.col("s.avg_packet_loss"), F.col("b.avg_packet_loss_pct"), DEFAULT_LOSS)
     is_outage = F.coalesce("s.is_outage", F.lit(False))
-    return both.select(
+    view = both.select(
         region.alias("region_id"),
         *[
             metadata[c].alias(c)
@@ -66,7 +67,8 @@ def merge_regions(speed: DataFrame, batch: DataFrame) -> DataFrame:
             F.col("s.region_id").isNotNull().alias("speed_layer"),
             F.col("b.region_id").isNotNull().alias("batch_layer"),
         ).alias("data_sources"),
-    ).orderBy(F.desc("impact_score"), "region_id")
+    )
+    return view.orderBy(F.desc("impact_score"), "region_id") if ordered else view
 
 
 def one_per_region(batch: DataFrame) -> DataFrame:

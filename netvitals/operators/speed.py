@@ -52,12 +52,17 @@ def window_measures() -> dict[str, Column]:
 
 
 def trailing_window(
-    probes: DataFrame, as_of, window_s: int = WINDOW_S, settled: bool = True
+    probes: DataFrame,
+    as_of,
+    window_s: int = WINDOW_S,
+    settled: bool = True,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Per-region aggregates over the closed range [as_of - window_s, as_of].
+    """Per-region aggregates over the closed range [as_of - window_s, as_of], worst first.
 
     A missing measure counts as 0 here, unlike in the history views. ``settled=False``
     keeps the plan free of intermediate tables, for inputs the size of a micro-batch.
+    ``ordered=False`` saves the sort when the rows are only joined or aggregated further.
     """
     end = as_column(as_of)
     rows = _keyed(between(probes, end, window_s)).withColumns(
@@ -69,7 +74,7 @@ def trailing_window(
     health, latency, loss = (
         measures[c] for c in ("avg_health_score", "avg_latency_ms", "avg_packet_loss")
     )
-    return base.select(
+    view = base.select(
         "region_id",
         *METADATA,
         F.timestamp_seconds(end - window_s).alias("window_start"),
@@ -87,7 +92,8 @@ def trailing_window(
         F.col("rtt_min").alias("min_latency_ms"),
         F.col("rtt_max").alias("max_latency_ms"),
         "current_state",
-    ).orderBy("avg_health_score", "region_id")
+    )
+    return view.orderBy("avg_health_score", "region_id") if ordered else view
 
 
 def microbatch_aggregates(batch: DataFrame, settled: bool = True) -> DataFrame:
@@ -201,7 +207,8 @@ def stream_speed_global(windows: DataFrame) -> DataFrame:
 
 
 def kpi_history(kpis: DataFrame, n: int = HISTORY_LEN) -> DataFrame:
-    """The newest ``n`` KPI rows, oldest first."""
+    """The newest ``n`` KPI rows, oldest first. The limit leaves one partition of ``n`` rows,
+    so they are put in time order there, without another shuffle."""
     return (
         kpis.orderBy(F.desc("computed_at"))
         .limit(n)
@@ -211,7 +218,8 @@ def kpi_history(kpis: DataFrame, n: int = HISTORY_LEN) -> DataFrame:
             F.col("global_avg_latency").alias("latency_ms"),
             F.col("global_avg_loss").alias("loss_pct"),
         )
-        .orderBy("ts")
+        .coalesce(1)
+        .sortWithinPartitions("ts")
     )
 
 

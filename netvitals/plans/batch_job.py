@@ -22,7 +22,7 @@ def batch_views(probes: DataFrame) -> dict[str, DataFrame]:
     """The five batch views. Pass one makes the hourly cube, pass two the quantiles; all
     else is taken from those two small tables."""
     cube = settle(history.hourly_cube(probes), "cube")
-    latency = settle(history.latency_by_region(probes), "latency")
+    latency = settle(history.latency_by_region(probes, ordered=False), "latency")
     outages = history.outage_frequency(cube)
     return {
         "latency_by_region": latency.orderBy(F.desc("avg_latency_ms"), "region_id"),

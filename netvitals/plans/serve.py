@@ -25,7 +25,8 @@ def run_merge(spark: SparkSession, root: str) -> None:
     """Reads both layers' views (absent ones as empty) and writes the merged views."""
     window = _speed(spark, root, "window_aggregates", schema.WINDOW_DDL)
     latency = _batch(spark, root, "latency_by_region", schema.LATENCY_DDL)
-    regions = settle(shown(serving.merge_regions(window, latency), "merged_regions"), "merged")
+    merged = serving.merge_regions(window, latency, ordered=False)
+    regions = settle(shown(merged, "merged_regions"), "merged")
     overall = serving.merge_global(
         regions,
         _batch(spark, root, "global_summary", schema.BATCH_GLOBAL_DDL),

@@ -67,7 +67,8 @@ def flush_speed(probes: DataFrame, root: str, batch_id: int, as_of: int, window_
     # the rows of one window, read several times below
     recent = between(probes, as_of, window_s).persist()
     window = shown(
-        speed.trailing_window(recent, as_of, window_s, settled=False), "window_aggregates"
+        speed.trailing_window(recent, as_of, window_s, settled=False, ordered=False),
+        "window_aggregates",
     ).persist()
     try:
         kpis = shown(speed.speed_global(window), "speed_global")

@@ -186,7 +186,8 @@ def rank_percentiles(spark, sf):
 @query
 def top_affected(spark, sf):
     p = probes(spark, sf)
-    return history.top_affected(history.latency_by_region(p), history.outage_frequency(p))
+    latency = history.latency_by_region(p, ordered=False)
+    return history.top_affected(latency, history.outage_frequency(p))
 
 
 @query
@@ -332,10 +333,11 @@ def live_events(spark, sf):
 # ---- serving ----------------------------------------------------------------------------
 
 
-def _merged(spark, sf):
+def _merged(spark, sf, ordered=False):
     p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
-    window = speed.trailing_window(p, as_of, MERGE_WINDOW_S)
-    return serving.merge_regions(window, history.latency_by_region(p))
+    window = speed.trailing_window(p, as_of, MERGE_WINDOW_S, ordered=False)
+    latency = history.latency_by_region(p, ordered=False)
+    return serving.merge_regions(window, latency, ordered)
 
 
 def _stored_merged(spark, sf):
@@ -345,7 +347,7 @@ def _stored_merged(spark, sf):
 
 @query
 def merge_regions(spark, sf):
-    return _merged(spark, sf).select(
+    return _merged(spark, sf, ordered=True).select(
         "*",
         F.col("data_sources.speed_layer").alias("from_speed"),
         F.col("data_sources.batch_layer").alias("from_batch"),
@@ -355,8 +357,10 @@ def merge_regions(spark, sf):
 @query
 def merge_global(spark, sf):
     p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
-    window = settle(speed.trailing_window(p, as_of, MERGE_WINDOW_S), "window_view")
-    regions = serving.merge_regions(window, history.latency_by_region(p))
+    window = speed.trailing_window(p, as_of, MERGE_WINDOW_S, ordered=False)
+    window = settle(window, "window_view")
+    latency = history.latency_by_region(p, ordered=False)
+    regions = serving.merge_regions(window, latency, ordered=False)
     totals = settle(history.global_summary(p), "batch_totals")
     return serving.merge_global(regions, totals, speed.speed_global(window))
 
