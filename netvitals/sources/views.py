@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from netvitals.schema import STATE_DDL
-
 
 def empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
@@ -22,12 +20,6 @@ def read_view(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") ->
         raise
 
 
-def live_state_scan(spark: SparkSession, path: str, now: int | None = None) -> DataFrame:
-    """The latest-state table, without entries that are past their time."""
-    rows = read_view(spark, path, STATE_DDL)
-    return rows if now is None else rows.filter(rows.expires_at > now)
-
-
 def first_non_empty(*candidates: DataFrame) -> DataFrame:
     """The first frame with a row, else the last. ``isEmpty`` reads at most one row."""
     for frame in candidates[:-1]:

@@ -168,5 +168,5 @@ def test_event_context_by_id_then_name(spark, probes):
 
 def test_counters(spark, probes):
     p = probes({"state": "warning"}, {"state": "WARNING"}, {"state": "healthy"}, unix_ts=T0)
-    (row,) = dicts(alerts_counters := feed.feed_counters(feed.feed_event(p), region_rows(spark, 1.0)))
+    (row,) = dicts(feed.feed_counters(feed.feed_event(p), region_rows(spark, 1.0)))
     assert (row["warning_events"], row["total_events"], row["outage_regions"]) == (2, 3, 1)

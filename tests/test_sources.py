@@ -125,7 +125,8 @@ def test_views_are_empty_until_written(spark, tmp_path):
     path = str(tmp_path / "view")
     assert views.read_view(spark, path, schema.HISTORY_DDL).count() == 0
     assert store.read_version(spark, path, schema.HISTORY_DDL).count() == 0
-    assert views.live_state_scan(spark, path).count() == 0
+    assert serve.live_state(spark, path).count() == 0
+    assert serve.serve_view(spark, path, "map-data").count() == 0
     some = spark.range(3)
     nothing = some.limit(0)
     assert views.first_non_empty(nothing, some, nothing).count() == 3
