@@ -8,6 +8,7 @@ from netvitals.llm.exact_dedup import exact_groups
 from netvitals.llm.mixing import mix
 from netvitals.llm.near_dedup import near_groups
 from netvitals.llm.oracles import ORACLES
+from netvitals.llm.toxicity import score_documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on the labelled rows outside the held-out fold, applied to every text."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 3, 1, 2 over sources, 150 % of all words, two epochs at most."""
     return mix(table(spark, sf_dir, "documents"))
@@ -32,6 +38,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op10_mixing": op10_mixing,
 }
 
