@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from netvitals.llm.exact_dedup import exact_groups
 from netvitals.llm.mixing import mix
 from netvitals.llm.near_dedup import near_groups
 from netvitals.llm.oracles import ORACLES
+from netvitals.llm.sentencepiece_codec import encode_documents
 from netvitals.llm.toxicity import score_documents
 
 
+#: Vocabulary files are never copied here; the path is a parameter of the operators.
+PIECES = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,6 +37,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and whether decoding them gives it back."""
+    return encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 3, 1, 2 over sources, 150 % of all words, two epochs at most."""
     return mix(table(spark, sf_dir, "documents"))
@@ -39,6 +51,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op7_sentencepiece": op7_sentencepiece,
     "op10_mixing": op10_mixing,
 }
 
