@@ -11,9 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from netvitals.llm.exact_dedup import exact_dedup
 from netvitals.llm.mixing import mixed_documents
 from netvitals.llm.near_dedup import near_dedup
+from netvitals.llm.queries import PIECES
+from netvitals.llm.sentencepiece_codec import encode_documents
+from netvitals.llm.toxicity import reject_toxic
 from netvitals.plans.shared import fresh_path
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose deobfuscated text scores below 0.5 under the model of the labels."""
+    return reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each content, the one with the largest id."""
     return exact_dedup(docs)
@@ -29,7 +37,18 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
-STAGES = [("exact_dedup", exact), ("near_dedup", near), ("mixing", mixing)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in the place of texts, with the check that they decode to them."""
+    return encode_documents(docs, PIECES)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("mixing", mixing),
+    ("sentencepiece", encode),
+]
 
 #: Near duplicates and learnt scores are not expressed in SQL.
 ORACLE_SQL = None
