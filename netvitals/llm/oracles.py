@@ -1,5 +1,52 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+OP1 = r"""
+WITH said AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+), last AS (
+  SELECT conv_id, max(pos) AS n FROM said WHERE role = 'assistant' GROUP BY conv_id
+), answers AS (
+  SELECT xor(conv_id, 1::BIGINT) AS conv_id, role, text FROM said JOIN last USING (conv_id) WHERE pos = n
+), chosen AS (
+  SELECT conv_id, pos, role, text FROM said JOIN last USING (conv_id) WHERE pos <= n
+), rejected AS (
+  SELECT conv_id, pos, role, text FROM said JOIN last USING (conv_id) WHERE pos < n
+  UNION ALL
+  SELECT conv_id, n AS pos, role, text FROM answers JOIN last USING (conv_id)
+), differs AS (
+  SELECT conv_id, min(pos) AS first FROM chosen c FULL JOIN rejected r USING (conv_id, pos)
+  WHERE c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text GROUP BY conv_id
+), common AS (
+  SELECT conv_id, coalesce(first - 1, n)::INT AS n_common FROM last LEFT JOIN differs USING (conv_id)
+), drawn AS (
+  SELECT side, conv_id, pos, n_common, role,
+         '<|' || replace(role, '<|', '< |') || '|>' || chr(10) AS head,
+         replace(text, '<|', '< |') || '<|end|>' AS body
+  FROM (SELECT 'c' AS side, * FROM chosen UNION ALL SELECT 'r', * FROM rejected) JOIN common USING (conv_id)
+), placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+              PARTITION BY side, conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + length(head) AS start
+  FROM drawn WHERE pos > n_common
+), tails AS (
+  SELECT side, conv_id, string_agg(head || body || chr(10), '' ORDER BY pos) AS tail,
+         string_agg(start::BIGINT || '-' || (start + length(body))::BIGINT, ',' ORDER BY pos)
+           FILTER (role = 'assistant') AS spans
+  FROM placed GROUP BY side, conv_id
+), prompts AS (
+  SELECT conv_id, string_agg(head || body || chr(10), '' ORDER BY pos) AS prompt
+  FROM drawn WHERE side = 'c' AND pos <= n_common GROUP BY conv_id
+)
+SELECT conv_id, n_common, coalesce(prompt, '') AS prompt,
+       coalesce(c.tail, '') AS chosen, coalesce(r.tail, '') AS rejected,
+       coalesce(c.spans, '') AS chosen_spans, coalesce(r.spans, '') AS rejected_spans
+FROM common LEFT JOIN prompts USING (conv_id)
+LEFT JOIN (SELECT * FROM tails WHERE side = 'c') c USING (conv_id)
+LEFT JOIN (SELECT * FROM tails WHERE side = 'r') r USING (conv_id)
+"""
+
 OP4 = """
 SELECT doc_id,
        max(doc_id) OVER w AS keep_id,
@@ -75,8 +122,28 @@ SELECT doc_id, source, size, source_size, target,
 FROM cut
 """
 
+OP6 = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+"""
+
 ORACLES = {
+    "op1_preference_chat": OP1,
     "op3_minhash_near_dedup": OP3,
     "op4_exact_dedup": OP4,
+    "op6_embedding_near_dedup": OP6,
     "op10_mixing": OP10,
 }

@@ -5,11 +5,16 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from netvitals.llm.embedding_dedup import embedding_groups
 from netvitals.llm.exact_dedup import exact_groups
+from netvitals.llm.language_id import identify_corpus
+from netvitals.llm.licenses import scan_licenses
 from netvitals.llm.mixing import mix
 from netvitals.llm.near_dedup import near_groups
 from netvitals.llm.oracles import ORACLES
+from netvitals.llm.preference import alternate_endings, preference_rows
 from netvitals.llm.sentencepiece_codec import encode_documents
 from netvitals.llm.toxicity import score_documents
 
@@ -22,6 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation up to its last answer against its neighbour's answer in that place;
+    spans as text (first-last, comma-separated)."""
+    rows = preference_rows(alternate_endings(table(spark, sf_dir, "conversations")))
+
+    def shown(name):
+        parts = F.transform(name, lambda s: F.concat_ws("-", s["first"], s["last"]))
+        return F.array_join(parts, ",").alias(name)
+
+    return rows.select(
+        "conv_id", "n_common", "prompt", "chosen", "rejected", shown("chosen_spans"), shown("rejected_spans")
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known license notices in every text."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sets of 3-word shingles, linked at a Jaccard similarity of 0.85."""
     return near_groups(table(spark, sf_dir, "documents"), shingle=3, percent=85)
@@ -37,21 +61,35 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine 0.9 over all vectors, labels unread."""
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives it back."""
     return encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all pages (markup, address, host, text) and documents (text, source)."""
+    return identify_corpus(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 3, 1, 2 over sources, 150 % of all words, two epochs at most."""
     return mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_preference_chat": op1_preference_chat,
+    "op2_license_scan": op2_license_scan,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_language_id": op8_language_id,
     "op10_mixing": op10_mixing,
 }
 
