@@ -50,7 +50,6 @@ def exact_groups(
     salted = rows.groupBy("text_sha256", "_salt", "_text").agg(
         best("doc_id").alias("_best"), F.count(F.lit(1)).alias("_n")
     )
-    salted = settle(salted, "exact_salted")
     winners = salted.groupBy("text_sha256", "_text").agg(
         best("_best").alias("keep_id"), F.sum("_n").alias("group_size")
     )
@@ -60,18 +59,22 @@ def exact_groups(
         F.max("group_size").alias("group_size"),
     )
     by_digest = settle(by_digest, "exact_winners")
+    # Written, so that Spark knows how small it is: without clashes the texts are read once more
+    # and not shuffled.
+    clashing = settle(by_digest.filter("_texts > 1").select("text_sha256"), "exact_clashes")
     # One row per (digest, salt): the winner reaches each salt once, members meet it there.
-    spread = salted.select("text_sha256", "_salt").distinct().join(by_digest, "text_sha256")
-    told = (
-        rows.select("doc_id", "text_sha256", "_salt")
-        .join(spread.filter("_texts = 1"), ["text_sha256", "_salt"])
-        .select("doc_id", "keep_id", "group_size", "text_sha256")
+    member = rows.select("doc_id", "text_sha256", "_salt")
+    spread = member.select("text_sha256", "_salt").distinct()
+    spread = spread.join(by_digest.filter("_texts = 1"), "text_sha256")
+    told = member.join(spread, ["text_sha256", "_salt"]).select(
+        "doc_id", "keep_id", "group_size", "text_sha256"
     )
-    clashing = by_digest.filter("_texts > 1").select("text_sha256")
-    apart = (
-        rows.join(clashing, "text_sha256", "left_semi")
-        .join(winners.join(clashing, "text_sha256", "left_semi"), ["text_sha256", "_text"])
-        .select("doc_id", "keep_id", "group_size", "text_sha256")
+    doubtful = rows.join(clashing, "text_sha256", "left_semi")
+    exact = doubtful.groupBy("text_sha256", "_text").agg(
+        best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    )
+    apart = doubtful.join(exact, ["text_sha256", "_text"]).select(
+        "doc_id", "keep_id", "group_size", "text_sha256"
     )
     kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
     return told.unionByName(apart).select(
