@@ -16,6 +16,7 @@ from netvitals.llm.near_dedup import near_groups
 from netvitals.llm.oracles import ORACLES
 from netvitals.llm.preference import alternate_endings, preference_rows
 from netvitals.llm.sentencepiece_codec import encode_documents
+from netvitals.llm.substring_dedup import repeated_passages
 from netvitals.llm.toxicity import score_documents
 
 
@@ -76,6 +77,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_corpus(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that nearly repeat one of an earlier document."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 3, 1, 2 over sources, 150 % of all words, two epochs at most."""
     return mix(table(spark, sf_dir, "documents"))
@@ -90,6 +96,7 @@ QUERIES = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
 
