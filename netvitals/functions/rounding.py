@@ -22,7 +22,7 @@ _GLOBAL = {
 }
 DIGITS = {
     "window_aggregates": _SPEED,
-    "lambda_aggs": _SPEED,
+    "batch_aggregates": _SPEED,
     "merged_regions": _REGIONS,
     "top_affected_regions": _REGIONS,
     "speed_global": _GLOBAL,

@@ -6,11 +6,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netvitals.functions import rules
 from netvitals.functions.measures import mean, merge_sums, partial_sums
+from netvitals.operators.ranks import values_at
 from netvitals.schema import REGION_COLUMNS
 
 COUNTRY = ["country_code", "country_name"]
@@ -30,33 +31,47 @@ def _summed(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(*blocks)
 
 
-def latency_by_region(
-    probes: DataFrame, accuracy: int = 10_000, ordered: bool = True
-) -> DataFrame:
+def _latency_view(rows: DataFrame, p50: Column, p95: Column, ordered: bool) -> DataFrame:
+    view = rows.select(
+        *REGION_COLUMNS,
+        F.col("n").alias("probe_count"),
+        mean("rtt").alias("avg_latency_ms"),
+        F.col("rtt_min").alias("min_latency_ms"),
+        F.col("rtt_max").alias("max_latency_ms"),
+        p50.alias("p50_latency_ms"),
+        p95.alias("p95_latency_ms"),
+        mean("loss").alias("avg_packet_loss_pct"),
+        mean("health").alias("avg_health_score"),
+    )
+    return view.orderBy(F.desc("avg_latency_ms"), "region_id") if ordered else view
+
+
+def latency_by_region(probes: DataFrame, ordered: bool = True) -> DataFrame:
     """Latency statistics per region over everything given, slowest region first.
 
-    p50 and p95 come from one quantile sketch per region in the same pass, which merges
-    map-side like the sums do. Up to ``accuracy`` values per region they are exact; beyond
-    that their rank is off by at most n / ``accuracy``. ``ranks.rank_percentiles`` gives
-    exact ones at any size, for a second pass. ``ordered=False`` saves the sort.
+    p50 and p95 are exact discrete quantiles (the value at position ceil(p * n)) at any size:
+    one pass makes the sums and counts values per bin, a second opens the bins that hold the
+    positions (`ranks.values_at`). ``ordered=False`` saves the sort.
     """
-    quantiles = F.percentile_approx("avg_rtt_ms", [0.5, 0.95], accuracy)
-    view = (
-        probes.groupBy(*REGION_COLUMNS)
-        .agg(*partial_sums(), quantiles.alias("quantiles"))
-        .select(
-            *REGION_COLUMNS,
-            F.col("n").alias("probe_count"),
-            mean("rtt").alias("avg_latency_ms"),
-            F.col("rtt_min").alias("min_latency_ms"),
-            F.col("rtt_max").alias("max_latency_ms"),
-            F.get("quantiles", F.lit(0)).alias("p50_latency_ms"),
-            F.get("quantiles", F.lit(1)).alias("p95_latency_ms"),
-            mean("loss").alias("avg_packet_loss_pct"),
-            mean("health").alias("avg_health_score"),
-        )
+
+    def positions(n: Column) -> dict[str, Column]:
+        # whole numbers, so that no product is off by a rounding
+        at = {f"q{p}": F.floor((F.lit(p) * n + 99) / 100) - 1 for p in (50, 95)}
+        return {name: F.greatest(position, F.lit(0)) for name, position in at.items()}
+
+    found = values_at(
+        probes, list(REGION_COLUMNS), "avg_rtt_ms", positions, partial_sums(), merge_sums()
     )
-    return view.orderBy(F.desc("avg_latency_ms"), "region_id") if ordered else view
+    return _latency_view(found, F.col("q50"), F.col("q95"), ordered)
+
+
+def latency_sketch(probes: DataFrame, accuracy: int = 10_000, ordered: bool = True) -> DataFrame:
+    """`latency_by_region` in one pass, with quantiles of a sketch per region: their rank is
+    off by at most n / ``accuracy``."""
+    quantiles = F.percentile_approx("avg_rtt_ms", [0.5, 0.95], accuracy)
+    rows = probes.groupBy(*REGION_COLUMNS).agg(*partial_sums(), quantiles.alias("quantiles"))
+    p50, p95 = (F.get("quantiles", F.lit(i)) for i in (0, 1))
+    return _latency_view(rows, p50, p95, ordered)
 
 
 def outage_frequency(probes: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ from netvitals import schema
 from netvitals.functions.rounding import shown
 from netvitals.operators import alerts, feed, serving, speed
 from netvitals.plans.shared import settle
-from netvitals.plans.store import read_version, write_view
-from netvitals.sources.views import first_non_empty, read_view
+from netvitals.plans.store import publish, read_version
+from netvitals.sources.views import first_non_empty, read_view, stored_format
 
 
 def _batch(spark: SparkSession, root: str, name: str, ddl: str) -> DataFrame:
-    return read_view(spark, f"{root}/batch/{name}", ddl)
+    path = f"{root}/batch/{name}"
+    return read_view(spark, path, ddl, stored_format(spark, path))
 
 
 def _speed(spark: SparkSession, root: str, name: str, ddl: str) -> DataFrame:
@@ -34,10 +35,10 @@ def run_merge(spark: SparkSession, root: str) -> None:
     )
     at = {"merged_at": F.current_timestamp()}
     ordered = regions.orderBy(F.desc("impact_score"), "region_id")
-    write_view(ordered.withColumns(at), f"{root}/merged/merged_regions")
-    write_view(shown(overall, "merged_global").withColumns(at), f"{root}/merged/merged_global")
+    publish(ordered.withColumns(at), f"{root}/merged/merged_regions")
+    publish(shown(overall, "merged_global").withColumns(at), f"{root}/merged/merged_global")
     top = serving.top_affected_regions(regions)
-    write_view(top.withColumns(at), f"{root}/merged/top_affected")
+    publish(top.withColumns(at), f"{root}/merged/top_affected")
 
 
 def live_state(spark: SparkSession, root: str, now: int | None = None) -> DataFrame:
@@ -58,7 +59,7 @@ def serve_view(
     state = live_state(spark, root, now)
 
     def merged(view: str, ddl: str) -> DataFrame:
-        return read_view(spark, f"{root}/merged/{view}", ddl)
+        return read_version(spark, f"{root}/merged/{view}", ddl)
 
     def best(fallback: DataFrame, *stored: DataFrame) -> DataFrame:
         if prefer_live:

@@ -9,7 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 DAY, WEEK = 86_400, 604_800
-_SINCE = "unix_ts >= coalesce(:as_of, (SELECT max(unix_ts) FROM {probes})) - :lookback_s"
+_START = "coalesce(:as_of, {newest}) - :lookback_s"
+_SINCE = f"unix_ts >= {_START}{{pruned}}"
+# Over a history partitioned by hour, the newest record is looked up in the newest folder and
+# the folders before the first hour are not listed.
+_NEWEST = "(SELECT max(unix_ts) FROM {probes})"
+_NEWEST_BY_HOUR = (
+    "(SELECT max(unix_ts) FROM {probes} WHERE hour = (SELECT max(hour) FROM {probes}))"
+)
+_BY_HOUR = f" AND hour >= date_format(timestamp_seconds({_START}), 'yyyyMMdd_HH')"
 _HOUR = "date_trunc('hour', timestamp_seconds(unix_ts))"
 
 REPORTS = {
@@ -92,6 +100,9 @@ def run_report(
         raise ValueError(f"{name} takes no parameter {sorted(unknown)}")
     if ":as_of" in text:
         args["as_of"] = as_of
+    by_hour = "hour" in source.columns
+    text = text.replace("{pruned}", _BY_HOUR if by_hour else "")
+    text = text.replace("{newest}", _NEWEST_BY_HOUR if by_hour else _NEWEST)
     return spark.sql(text, args=args or None, probes=source)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netvitals.schema import PROBE_COLUMNS, PROBE_DDL
@@ -23,14 +23,17 @@ def with_time(rows: DataFrame) -> DataFrame:
 def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(probe rows, rejected lines) of text lines, streaming or not.
 
-    Blank lines vanish; a line that is no JSON object or has a field of the wrong type is a
-    reject. Lines are parsed under the whole schema by an expression rather than by the JSON
-    reader, whose verdict on a line depends on which columns a query selects.
+    Blank lines vanish. A field of the wrong type is null in an otherwise kept row; only a
+    line that is no JSON object is a reject. Lines are parsed once, under the whole schema and
+    by an expression rather than by the JSON reader, whose verdict on a line depends on which
+    columns a query selects.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json("value", f"{PROBE_DDL}, {CORRUPT} STRING", options)
-    rows = lines.filter(F.trim("value") != "").select("value", parsed.alias("p"))
-    ok = F.col("p").isNotNull() & F.col(f"p.{CORRUPT}").isNull()
+    # a generator's result is kept, so that the filter and the columns share one parse
+    rows = lines.filter(F.trim("value") != "").select("value", F.explode(F.array(parsed)).alias("p"))
+    doubtful = F.col("p").isNull() | F.col(f"p.{CORRUPT}").isNotNull()
+    ok = F.when(doubtful, F.json_object_keys("value").isNotNull()).otherwise(True)
     good = rows.filter(ok).select(*[F.col(f"p.{c}") for c in PROBE_COLUMNS])
     return with_time(good), rows.filter(~ok).select(F.col("value").alias("line"))
 
@@ -41,17 +44,14 @@ def lenient_ndjson(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
 
 
 def read_probes(spark: SparkSession, path) -> DataFrame:
-    """Probe rows of NDJSON files; broken lines are left out."""
+    """Probe rows of NDJSON files; lines that are no JSON objects are left out."""
     return lenient_ndjson(spark, path)[0]
 
 
 def raw_table(spark: SparkSession, name: str, path: str) -> None:
-    """Registers NDJSON files as an external table for SQL."""
-    location = path.replace("'", "\\'")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({PROBE_DDL}) USING json "
-        f"OPTIONS (mode 'DROPMALFORMED') LOCATION '{location}'"
-    )
+    """Registers NDJSON files for SQL as a temporary view, with the rows of `read_probes`
+    whichever columns a query reads."""
+    read_probes(spark, path).createOrReplaceTempView(name)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -59,18 +59,32 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{PROBE_DDL}, ts TIMESTAMP, hour STRING").parquet(path)
 
 
-def probe_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 200) -> DataFrame:
-    """Stream of NDJSON files as they arrive. Progress is kept by the query's checkpoint, so
+def line_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 200) -> DataFrame:
+    """Lines of NDJSON files as they arrive. Progress is kept by the query's checkpoint, so
     nothing is lost between runs; a file transport stands in for a message broker."""
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return parse_lines(reader.text(path))[0]
+    return reader.text(path)
+
+
+def probe_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 200) -> DataFrame:
+    """Probe rows of a `line_stream`."""
+    return parse_lines(line_stream(spark, path, files_per_trigger))[0]
 
 
 def dedup_events(rows: DataFrame, lateness: str | None = "10 minutes") -> DataFrame:
-    """One row per event_id, for at-least-once sources. On a stream, ids are remembered for
-    ``lateness``; a batch keeps one copy over everything given, merging copies map-side."""
+    """One row per event_id, for at-least-once sources; rows without an id are all kept.
+
+    On a stream, ids are remembered for ``lateness`` and later records are dropped, so use it
+    for live views, never before an archive. A batch keeps the copy with the greatest (ts,
+    content) whatever the order of arrival.
+    """
+    known, nameless = rows.filter("event_id IS NOT NULL"), rows.filter("event_id IS NULL")
     if rows.isStreaming:
-        return rows.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
-    return rows.dropDuplicates(["event_id"])
+        # two branches of one source; the watermark stays with the branch that needs it
+        return known.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"]).unionByName(nameless)
+    content = F.xxhash64(*[F.col(c) for c in rows.columns])
+    newest = Window.partitionBy("event_id").orderBy(F.desc("ts"), content)
+    first = known.withColumn("_copy", F.row_number().over(newest)).filter("_copy = 1").drop("_copy")
+    return first.unionByName(nameless)

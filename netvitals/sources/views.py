@@ -20,6 +20,13 @@ def read_view(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") ->
         raise
 
 
+def stored_format(spark: SparkSession, path: str) -> str:
+    """"json" where the folder holds JSON files, else "parquet"."""
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return "json" if files.globStatus(jvm.org.apache.hadoop.fs.Path(path, "*.json*")) else "parquet"
+
+
 def first_non_empty(*candidates: DataFrame) -> DataFrame:
     """The first frame with a row, else the last. ``isEmpty`` reads at most one row."""
     for frame in candidates[:-1]:

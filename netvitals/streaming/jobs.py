@@ -1,6 +1,7 @@
 """Streaming queries over a probe stream.
 
-``raw_history`` appends the records, ``sliding_window_table`` appends closed windows, and
+``raw_history`` appends every record, late and repeated ones too (compaction removes
+repeats), ``raw_rejects`` the lines that are none, ``sliding_window_table`` appends closed windows, and
 ``speed_layer`` keeps the small live views current after each micro-batch. Start each with
 its own checkpoint folder, which belongs to its output root; ``every=None`` processes what
 is there and stops.
@@ -9,6 +10,7 @@ is there and stops.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,7 +25,19 @@ from netvitals.operators import feed, latest, speed
 from netvitals.operators.storage import time_ordered, with_hour
 from netvitals.plans.store import read_version, write_version
 from netvitals.plans.timeframe import between
+from netvitals.sources.ndjson import parse_lines
+from netvitals.sources.views import empty
+
 EVERY = "60 seconds"
+#: How far a record's stamp may lie ahead of the trigger's clock.
+CLOCK_SLACK_S = 60
+VIEWS = {
+    "current_state": schema.STATE_DDL,
+    "live_events": schema.FEED_DDL,
+    "window_aggregates": schema.WINDOW_DDL,
+    "speed_global": schema.SPEED_GLOBAL_DDL,
+    "history": schema.HISTORY_DDL,
+}
 
 
 def paced(writer: DataStreamWriter, checkpoint: str, every: str | None = EVERY):
@@ -49,6 +63,12 @@ def raw_history(stream: DataFrame, path: str) -> DataStreamWriter:
     ).outputMode("append")
 
 
+def raw_rejects(lines: DataFrame, path: str) -> DataStreamWriter:
+    """Appends the lines of a `line_stream` that are no JSON objects."""
+    rows = parse_lines(lines)[1].withColumn("received_at", F.current_timestamp())
+    return rows.writeStream.format("parquet").option("path", path).outputMode("append")
+
+
 def sliding_window_table(stream: DataFrame, path: str, **window) -> DataStreamWriter:
     """Appends each region window once it is closed by the watermark."""
     rows = speed.stream_sliding_windows(stream, **window).drop("w")
@@ -108,47 +128,51 @@ def apply_batch(
 
     All writes are by batch id, so running a batch again gives the same files. Views hold
     one row per region or a ring of fixed length; records are only appended.
+
+    The views' moment is the newest record's time, unless ``now`` gives another. It never
+    moves back (a batch of late records is added at the moment already reached) and never
+    passes the time of the trigger: records stamped further ahead stay in the raw copy and
+    are left out of live views.
     """
     spark = batch.sparkSession
-    state_path = f"{root}/speed/current_state"
-    feed_path = f"{root}/speed/live_events"
-    stored_state = read_version(spark, state_path, schema.STATE_DDL, before=batch_id)
-    stored_feed = read_version(spark, feed_path, schema.FEED_DDL, before=batch_id)
-    batch = batch.persist()
+    paths = {name: f"{root}/speed/{name}" for name in VIEWS}
+    stored = {name: read_version(spark, paths[name], ddl, before=batch_id) for name, ddl in VIEWS.items()}
+    whole = batch.persist()
     try:
-        # one value; the event clock unless the caller sets another
+        limit = int(time.time()) + CLOCK_SLACK_S
+        batch = whole.filter(F.coalesce(F.col("unix_ts") <= limit, F.lit(False)))
+        # one value each; the event clock unless the caller sets another
         newest_ts = batch.agg(F.max("unix_ts")).first()[0]
+        reached = stored["history"].agg(F.max(F.unix_seconds("ts"))).first()[0]
+        if not whole.isEmpty():
+            append_batch(whole, root, batch_id)
         if newest_ts is None:
-            # versions must not skip a batch id: carry the rings and the state over
-            write_version(stored_state, state_path, batch_id)
-            write_version(stored_feed, feed_path, batch_id)
-            ring_path = f"{root}/speed/history"
-            ring = read_version(spark, ring_path, schema.HISTORY_DDL, before=batch_id)
-            write_version(ring, ring_path, batch_id)
+            # versions must not skip a batch id: carry all views over
+            for name, view in stored.items():
+                write_version(view, paths[name], batch_id)
             return
-        as_of = now(batch) if now else newest_ts
+        as_of = now(batch) if now else max(newest_ts, reached or newest_ts)
 
         def window_views() -> None:
-            append_batch(batch, root, batch_id)
             recent = recent_batches(spark, root, as_of, window_s)
             flush_speed(recent, root, batch_id, as_of, window_s)
 
         def batch_view() -> None:
-            rows = shown(speed.microbatch_aggregates(batch, settled=False), "lambda_aggs")
-            rows.write.mode("overwrite").parquet(f"{root}/speed/lambda_aggs/batch={batch_id}")
+            rows = shown(speed.microbatch_aggregates(batch, settled=False), "batch_aggregates")
+            rows.write.mode("overwrite").parquet(f"{root}/speed/batch_aggregates/batch={batch_id}")
 
         def state_view() -> None:
-            state = latest.upsert_state(stored_state, batch, as_of, window_s, settled=False)
-            write_version(state, state_path, batch_id)
+            state = latest.upsert_state(stored["current_state"], batch, as_of, window_s, settled=False)
+            write_version(state, paths["current_state"], batch_id)
 
         def feed_view() -> None:
             newest = feed.live_events(feed.feed_event(batch))
-            rows = feed.live_events(stored_feed.unionByName(newest))
-            write_version(rows, feed_path, batch_id)
+            rows = feed.live_events(stored["live_events"].unionByName(newest))
+            write_version(rows, paths["live_events"], batch_id)
 
         together(spark, window_views, batch_view, state_view, feed_view)
     finally:
-        batch.unpersist()
+        whole.unpersist()
 
 
 def append_batch(batch: DataFrame, root: str, batch_id: int) -> None:
@@ -174,8 +198,14 @@ def recent_batches(spark: SparkSession, root: str, as_of: int, seconds: int) ->
         hour += dt.timedelta(hours=1)
     base = f"{root}/raw_batches"
     ddl = f"{schema.PROBE_DDL}, ts TIMESTAMP, hour STRING, batch BIGINT"
+    known = [f"{base}/hour={name}" for name in names]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    known = [k for k in known if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(k))]
+    if not known:
+        return empty(spark, ddl).drop("batch")
     reader = spark.read.schema(ddl).option("basePath", base)
-    return reader.parquet(f"{base}/hour={{{','.join(names)}}}").drop("batch")
+    return reader.parquet(*known).drop("batch")
 
 
 def speed_layer(stream: DataFrame, root: str, window_s: int = speed.WINDOW_S, now=None):

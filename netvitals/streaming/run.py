@@ -2,18 +2,63 @@
 seconds beside it.
 
     spark-submit -m netvitals.streaming.run --input <ndjson folder> --output <root>
+
+The archive takes every record; only the live views drop repeats. Outage alerts, long metrics
+and closed windows are kept as tables under <root>/streams.
 """
 
 from __future__ import annotations
 
 import argparse
+import logging
+
+from pyspark.sql import SparkSession
 
+from netvitals.operators import feed, storage
 from netvitals.plans.serve import run_merge
 from netvitals.plans.session import build_session
-from netvitals.sources.ndjson import dedup_events, probe_stream
-from netvitals.streaming.jobs import paced, raw_history, speed_layer
+from netvitals.sources.ndjson import dedup_events, line_stream, probe_stream
+from netvitals.streaming.jobs import (
+    kpi_table,
+    paced,
+    raw_history,
+    raw_rejects,
+    sliding_window_table,
+    speed_layer,
+)
 
 MERGE_EVERY_S = 15
+log = logging.getLogger(__name__)
+
+
+def start_all(spark: SparkSession, source: str, root: str, window_s: int, every: str | None) -> list:
+    """Starts every query of the speed layer over ``source``; each has its own checkpoint."""
+    probes = probe_stream(spark, source)
+    unique = dedup_events(probe_stream(spark, source))
+
+    def table(rows, name):
+        return rows.writeStream.format("parquet").option("path", f"{root}/streams/{name}")
+
+    writers = {
+        "raw": raw_history(probes, f"{root}/history"),
+        "rejects": raw_rejects(line_stream(spark, source), f"{root}/rejects"),
+        "speed": speed_layer(unique, root, window_s),
+        "alerts": table(feed.outage_alert_stream(unique), "outage_alerts"),
+        "metrics": table(storage.metrics_long(unique), "metrics_long"),
+        "windows": sliding_window_table(probes, f"{root}/streams/sliding_windows"),
+        "kpis": kpi_table(probes, f"{root}/streams/kpis"),
+    }
+    return [paced(w, f"{root}/_progress/{n}", every).queryName(n).start() for n, w in writers.items()]
+
+
+def merge_safely(spark: SparkSession, root: str) -> bool:
+    """One merge; a failure is logged and the next round tries again."""
+    try:
+        run_merge(spark, root)
+        return True
+    except Exception:
+        log.exception("merge failed; it is tried again in %s s", MERGE_EVERY_S)
+        return False
 
 
 def main() -> None:
@@ -24,14 +69,10 @@ def main() -> None:
     parser.add_argument("--every", default="60 seconds", help="trigger interval")
     args = parser.parse_args()
     spark = build_session("netvitals-speed")
-    stream = dedup_events(probe_stream(spark, args.input))
-    root = args.output
-    raw = paced(raw_history(stream, f"{root}/history"), f"{root}/_progress/raw", args.every)
-    live = paced(speed_layer(stream, root, args.window), f"{root}/_progress/speed", args.every)
-    raw.start()
-    query = live.start()
-    while not query.awaitTermination(MERGE_EVERY_S):
-        run_merge(spark, root)
+    start_all(spark, args.input, args.output, args.window, args.every)
+    # ends, with its error, as soon as any of the queries does
+    while not spark.streams.awaitAnyTermination(MERGE_EVERY_S):
+        merge_safely(spark, args.output)
 
 
 if __name__ == "__main__":

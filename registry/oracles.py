@@ -608,6 +608,19 @@ ORACLES: dict[str, str] = {
         FROM probes GROUP BY 1""",
         "avg_health_score",
     ),
+    "lenient_ndjson": sql(
+        """SELECT CASE WHEN event_id % 10 = 0 THEN 'reject' ELSE 'row' END AS kind,
+               CASE WHEN event_id % 10 > 1 THEN hop_count END AS hop_count, count(*) AS records
+        FROM probes GROUP BY 1, 2"""
+    ),
+    "compact_incremental": sql(
+        """SELECT strftime(ts, '%Y%m%d_%H') AS hour, count(*) AS records,
+               count(*) FILTER (event_id % 11 = 0) AS nameless
+        FROM probes GROUP BY 1"""
+    ),
+    "raw_archive_stream": sql(
+        "SELECT strftime(ts, '%Y%m%d_%H') AS hour, count(*) AS records FROM probes GROUP BY 1"
+    ),
     # the watermark is ten minutes behind the newest event
     "stream_sliding_windows": sql(
         f"""{SLIDING} ---

@@ -443,6 +443,58 @@ def compact_history(spark, sf):
     )
 
 
+def _damaged(lines: DataFrame) -> DataFrame:
+    """Lines of a copy, every tenth cut short and every tenth with a text for a number."""
+    number = F.get_json_object("value", "$.event_id").cast("bigint") % 10
+    wrong = F.regexp_replace("value", r'"hop_count":(\d+)', '"hop_count":"n$1"')
+    cut = F.substring("value", 2, 1_000_000)
+    return lines.select(F.when(number == 0, cut).when(number == 1, wrong).otherwise(F.col("value")).alias("value"))
+
+
+@query
+def lenient_ndjson(spark, sf):
+    """Damaged lines: a wrong field becomes null, a line that is no object a reject."""
+    path = fresh_path(spark, "damaged")
+    _damaged(spark.read.text(_ndjson(spark, sf))).write.text(path)
+    rows, rejects = ndjson.lenient_ndjson(spark, path)
+    kept = rows.select(F.lit("row").alias("kind"), "hop_count")
+    broken = rejects.select(F.lit("reject").alias("kind"), F.lit(None).cast("int").alias("hop_count"))
+    return kept.unionByName(broken).groupBy("kind", "hop_count").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def compact_incremental(spark, sf):
+    """Two deliveries: the second brings late records of stored hours, records of the first
+    once more, and both hold records without an id."""
+    lines = spark.read.text(_ndjson(spark, sf))
+    number = F.get_json_object("value", "$.event_id").cast("bigint")
+    nameless = F.regexp_replace("value", r'"event_id":"?\d+"?,', "")
+    lines = lines.select(F.when(number % 11 == 0, nameless).otherwise(F.col("value")).alias("value"), number.alias("n"))
+    late = F.col("n") % 3 == 0
+    again = (F.col("n") % 7 == 0) & (F.col("n") % 11 != 0)
+    first, second, table = (fresh_path(spark, f"delivery_{i}") for i in ("a", "b", "table"))
+    lines.filter(~late).select("value").write.text(first)
+    lines.filter(late | again).select("value").write.text(second)
+    compact.compact_history(spark, first, table)
+    compact.compact_history(spark, second, table)
+    stored = ndjson.read_history(spark, table)
+    return stored.groupBy("hour").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("event_id").isNull()).alias("nameless")
+    )
+
+
+@query
+def raw_archive_stream(spark, sf):
+    """The newer half of the records arrives first: the archive holds late ones too."""
+    lines = spark.read.text(_ndjson(spark, sf))
+    half = F.get_json_object("value", "$.unix_ts").cast("bigint") >= tables.newest_event(spark, sf) - 15 * 86_400
+    source_, path = fresh_path(spark, "arriving"), fresh_path(spark, "archive")
+    lines.filter(half).write.text(source_)
+    lines.filter(~half).write.mode("append").text(source_)
+    _run(spark, jobs.raw_history(ndjson.probe_stream(spark, source_, 50), path))
+    return storage.hourly_raw(ndjson.read_history(spark, path).drop("hour"))
+
+
 def _run(spark, writer) -> None:
     query_ = jobs.paced(writer, fresh_path(spark, "progress"), every=None).start()
     query_.awaitTermination()

@@ -33,11 +33,32 @@ def test_lenient_reading_routes_rejects(spark, tmp_path):
     )
     good, rejects = ndjson.lenient_ndjson(spark, path)
     rows = {r["event_id"]: r for r in good.collect()}
-    assert set(rows) == {"e1", "e3"} and rows["e3"]["hop_count"] == 7
+    # a wrong field is null in a kept row; its time then comes from the other column
+    assert set(rows) == {"e1", "e2", "e3"} and rows["e3"]["hop_count"] == 7
+    assert rows["e2"]["unix_ts"] == T0 and rows["e2"]["avg_rtt_ms"] == 1.5
     assert rows["e1"]["ts"].microsecond == 250000
-    assert "{broken" in {r["line"] for r in rejects.collect()}
-    assert rejects.count() == 3
-    assert ndjson.read_probes(spark, path).count() == 2
+    assert {r["line"] for r in rejects.collect()} == {"{broken", "[1, 2]"}
+    assert ndjson.read_probes(spark, path).count() == 3
+
+
+def test_wrong_typed_fields_keep_their_record(spark, tmp_path):
+    path = write_lines(
+        tmp_path / "raw", probe(1, hop_count="7"), probe(2, hop_count=7.0),
+        probe(3, health_score="x", outage_detected="maybe", state="warning"), probe(4, state=None),
+    )
+    rows = {r["event_id"]: r for r in ndjson.read_probes(spark, path).collect()}
+    assert set(rows) == {"e1", "e2", "e3", "e4"}
+    assert rows["e3"]["health_score"] is None and rows["e3"]["outage_detected"] is None
+    assert rows["e3"]["state"] == "warning" and rows["e3"]["region_id"] == "a"
+
+
+def test_rows_without_an_id_are_never_merged(spark, tmp_path):
+    path = write_lines(
+        tmp_path / "raw", probe(1), probe(1), *[json.dumps({"region_id": "a", "unix_ts": T0 + i}) for i in (1, 2, 2)],
+        json.dumps({"event_id": "e1", "region_id": "b", "unix_ts": T0 + 5}),
+    )
+    kept = ndjson.dedup_events(ndjson.read_probes(spark, path)).collect()
+    assert sorted((r["event_id"] or "", r["region_id"]) for r in kept) == [("", "a")] * 3 + [("e1", "b")]
 
 
 def test_time_comes_from_either_column(spark, tmp_path):
@@ -54,13 +75,14 @@ def test_raw_table_and_view(spark, tmp_path):
     ndjson.raw_table(spark, "probe_events", path)
     try:
         assert spark.table("probe_events").count() == 2
+        assert len(spark.table("probe_events").select("event_id", "unix_ts").collect()) == 2
         (span,) = sql_views.run_report(spark, "dataset_span", "probe_events").collect()
         assert span["total_records"] == 2
         sql_views.create_batch_view(spark, "probe_events")
         (row,) = spark.sql("SELECT total_probes, total_outages FROM v_batch_summary").collect()
         assert tuple(row) == (2, 1)
     finally:
-        spark.sql("DROP TABLE probe_events")
+        spark.catalog.dropTempView("probe_events")
 
 
 def test_envelopes_of_every_kind(spark):
@@ -149,6 +171,18 @@ def test_versions_take_turns_and_reruns_see_the_same_past(spark, tmp_path):
     assert read() == []
 
 
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    path, ddl = str(tmp_path / "v"), "x BIGINT"
+    store.write_version(spark.range(1).toDF("x"), path, 0)
+    early = store.read_version(spark, path, ddl)
+    for batch in (1, 2, 3):
+        store.write_version(spark.range(batch + 1).toDF("x"), path, batch)
+    assert early.count() == 1 and store.read_version(spark, path, ddl).count() == 4
+    for batch in range(4, 9):
+        store.write_version(spark.range(1).toDF("x"), path, batch)
+    assert store.versions(spark, path) == [4, 5, 6, 7, 8]
+
+
 def test_settle_uses_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     frame = settle(spark.range(5))
@@ -190,6 +224,56 @@ def history_ddl(stored):
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema_)
 
 
+def test_a_late_delivery_adds_to_its_hour(spark, tmp_path):
+    rows = [probe(i, timestamp=None, unix_ts=T0 + i) for i in range(10)]
+    nameless = json.dumps({"region_id": "a", "unix_ts": T0 + 3})
+    table, rejects = str(tmp_path / "history"), str(tmp_path / "rejects")
+    first = write_lines(tmp_path / "one", *rows, nameless, nameless)
+    assert compact.compact_history(spark, first, table, rejects=rejects) == {"records": 12, "rejects": 0}
+    late = write_lines(tmp_path / "two", probe(99, timestamp=None, unix_ts=T0 + 1), rows[4], "{broken")
+    got = compact.compact_history(spark, late, table, rejects=rejects)
+    assert got == {"records": 2, "rejects": 1}
+    stored = ndjson.read_history(spark, table)
+    assert stored.count() == 13 and stored.filter("event_id IS NULL").count() == 2
+    assert [r["line"] for r in spark.read.parquet(rejects).collect()] == ["{broken"]
+    assert compact.drop_expired(spark, table, T0 + 3 * 86_400, days=1) == ["20231114_22"]
+    assert ndjson.read_history(spark, table).count() == 0
+
+
+def test_reports_over_history_prune_hours(spark, tmp_path):
+    table = str(tmp_path / "history")
+    rows = [probe(i, timestamp=None, unix_ts=T0 + i * 3600, country_code="US", health_score=50.0,
+                  outage_detected=True) for i in range(30)]
+    compact.compact_history(spark, write_lines(tmp_path / "raw", *rows), table)
+    stored = ndjson.read_history(spark, table)
+    plain = ndjson.read_probes(spark, str(tmp_path / "raw"))
+    for name in ("top_affected", "latency_trend", "global_trend", "outage_hotspots"):
+        for as_of in (T0 + 29 * 3600, None):
+            found = sql_views.run_report(spark, name, stored, as_of)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(hour" in plan, (name, as_of)
+            want = sql_views.run_report(spark, name, plain, as_of)
+            assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def test_json_views_are_served(spark, tmp_path):
+    rows = [probe(i, timestamp=None, unix_ts=T0 + i, health_score=90.0) for i in range(5)]
+    raw = write_lines(tmp_path / "raw", *rows)
+    batch_job.run_batch(ndjson.read_probes(spark, raw), str(tmp_path / "out"), "json")
+    assert serve.serve_view(spark, str(tmp_path / "out"), "batch-summary").first()["total_records"] == 5
+
+
+def test_quantiles_are_exact_at_any_size(spark):
+    rows = spark.range(200_000).selectExpr(
+        "'a' AS region_id", "CAST(id AS DOUBLE) AS avg_rtt_ms", "1.0D AS health_score",
+        "0.0D AS packet_loss_pct", "false AS outage_detected",
+        *[f"CAST(NULL AS STRING) AS {c}" for c in schema.REGION_COLUMNS if c not in ("region_id", "lat", "lon")],
+        "0.0D AS lat", "0.0D AS lon",
+    )
+    (got,) = history.latency_by_region(rows).collect()
+    assert (got["p50_latency_ms"], got["p95_latency_ms"]) == (99_999.0, 189_999.0)
+
+
 def test_compaction_drops_what_is_past_retention(spark, tmp_path):
     raw = write_lines(
         tmp_path / "raw", probe(1, timestamp=None), probe(2, timestamp=None, unix_ts=T0 - 86_401)

@@ -109,6 +109,38 @@ def test_raw_history_and_dedup(spark, tmp_path):
     assert ndjson.read_history(spark, out).count() == 60
 
 
+def test_the_archive_takes_late_and_nameless_records(spark, tmp_path):
+    rows = make_rows(60, 7200, seed=9)
+    folder = tmp_path / "raw"
+    nameless = [{"unix_ts": T0 + i, "region_id": "a"} for i in range(3)]
+    write_file(folder, "0.ndjson", rows[30:], 0)
+    write_file(folder, "1.ndjson", rows[:30] + nameless, 1)  # all late by more than ten minutes
+    out, bad = str(tmp_path / "history"), str(tmp_path / "rejects")
+    run(jobs.raw_history(ndjson.probe_stream(spark, str(folder), 1), out), str(tmp_path / "ck"))
+    run(jobs.raw_rejects(ndjson.line_stream(spark, str(folder), 1), bad), str(tmp_path / "ck2"))
+    assert ndjson.read_history(spark, out).count() == 63
+    assert [r["line"] for r in spark.read.parquet(bad).collect()] == ["{broken"] * 2
+    unique = ndjson.dedup_events(ndjson.probe_stream(spark, str(folder), 1), "3 hours")
+    live = str(tmp_path / "unique")
+    run(jobs.raw_history(unique, live), str(tmp_path / "ck3"))
+    assert ndjson.read_history(spark, live).count() == 63
+
+
+def test_future_and_late_records_do_not_move_the_clock(spark, probes, tmp_path):
+    root = str(tmp_path / "root")
+    row = {"region_name": "R", "country_code": "C", "avg_rtt_ms": 5.0, "health_score": 90.0, "state": "healthy"}
+    jobs.apply_batch(probes(*[{"event_id": r, "region_id": r, "unix_ts": T0 + 1000, **row} for r in "abcd"]), 0, root)
+    ahead = {"event_id": "f", "region_id": "e", "unix_ts": 9_000_000_000, **row}
+    jobs.apply_batch(probes(ahead, {"event_id": "g", "region_id": "a", "unix_ts": T0 + 1001, **row}), 1, root)
+    assert {r["region_id"] for r in serve.live_state(spark, root).collect()} == set("abcd")
+    jobs.apply_batch(probes({"event_id": "h", "region_id": "a", "unix_ts": T0, **row}), 2, root)
+    assert serve.serve_view(spark, root, "window-aggregates").count() == 4
+    assert serve.serve_view(spark, root, "history").agg(F.max(F.unix_seconds("ts"))).first()[0] == T0 + 1001
+    jobs.apply_batch(probes(ahead), 3, root)
+    assert serve.live_state(spark, root).count() == 4
+    assert spark.read.parquet(f"{root}/raw_batches").count() == 8
+
+
 def test_alert_stream_is_the_batch_filter(spark, landed, tmp_path):
     out = str(tmp_path / "alerts")
     stream = feed.outage_alert_stream(ndjson.probe_stream(spark, landed))
@@ -140,7 +172,7 @@ def test_speed_layer_views(spark, landed, tmp_path):
     assert serve.serve_view(spark, root, "map-data").count() == window.count()
     for name in ("top-affected", "observability", "incidents", "alerts"):
         assert serve.serve_view(spark, root, name, now=as_of).count() >= 0
-    aggregates = spark.read.parquet(f"{root}/speed/lambda_aggs")
+    aggregates = spark.read.parquet(f"{root}/speed/batch_aggregates")
     assert aggregates.agg(F.sum("sample_count")).first()[0] == 300
     serve.run_merge(spark, root)
     merged = serve.serve_view(spark, root, "map-data")
