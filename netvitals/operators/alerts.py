@@ -90,16 +90,22 @@ def incidents(regions: DataFrame) -> DataFrame:
     )
 
 
-def incident_timeline(incident_rows: DataFrame, episodes: DataFrame) -> DataFrame:
-    """Incidents with the start, end and duration of their region's last outage episode."""
+def last_episodes(episodes: DataFrame) -> DataFrame:
+    """The last outage episode of each region."""
     last = episodes.groupBy("region_id").agg(
         F.max_by(F.struct("start_ts", "end_ts", "duration_s"), F.col("start_ts")).alias("e")
     )
-    return incident_rows.join(last, "region_id", "left").select(
+    return last.select("region_id", "e.start_ts", "e.end_ts", "e.duration_s")
+
+
+def incident_timeline(incident_rows: DataFrame, episodes: DataFrame) -> DataFrame:
+    """Incidents with the start, end and duration of their region's last outage episode.
+    ``episodes`` may hold all episodes or only the last ones."""
+    return incident_rows.join(last_episodes(episodes), "region_id", "left").select(
         *incident_rows.columns,
-        F.col("e.start_ts").alias("start"),
-        F.col("e.end_ts").alias("end"),
-        F.col("e.duration_s").alias("duration_s"),
+        F.col("start_ts").alias("start"),
+        F.col("end_ts").alias("end"),
+        "duration_s",
     )
 
 

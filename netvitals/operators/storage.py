@@ -19,18 +19,14 @@ def with_hour(rows: DataFrame, moment: str = "ts") -> DataFrame:
     return rows.withColumn("hour", hour_of(F.col(moment)))
 
 
-def time_ordered(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+def time_ordered(rows: DataFrame) -> DataFrame:
     """Rows with an ``hour`` column, laid out for writing hourly folders.
 
-    Range partitioning by (hour, unix_ts) cuts a busy hour into several tasks, and files get
-    narrow time ranges that later scans skip by their statistics. The task count is given
-    explicitly (default: the session's shuffle partitions), because AQE would merge small
-    tasks and leave one of them with all the folders to write.
+    Rebalancing by hour lets AQE decide the number of tasks from the rows' real size: small
+    hours share a task, a busy hour is split into several, so nobody has to give a count.
+    Files are sorted by time, and their statistics let later scans skip parts of an hour.
     """
-    if tasks is None:
-        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(tasks, "hour", "unix_ts")
-    return ordered.sortWithinPartitions("hour", "unix_ts")
+    return rows.hint("rebalance", "hour").sortWithinPartitions("hour", "unix_ts")
 
 
 def hourly_raw(rows: DataFrame) -> DataFrame:

@@ -12,17 +12,28 @@ from pyspark.sql import functions as F
 
 from netvitals.functions.rounding import shown
 from netvitals.operators import history
+from netvitals.operators.alerts import last_episodes
+from netvitals.operators.episodes import outage_episodes
 from netvitals.plans.session import build_session
-from netvitals.plans.shared import settle
+from netvitals.plans.shared import discard, settle
+from netvitals.plans.sql_views import batch_summary
 from netvitals.plans.store import write_view
 from netvitals.sources.ndjson import read_history, read_probes
 
 
 def batch_views(probes: DataFrame) -> dict[str, DataFrame]:
-    """The five batch views. Pass one makes the hourly cube, pass two the quantiles; all
-    else is taken from those two small tables."""
+    """The batch views. Pass one makes the hourly cube, pass two the quantiles; most else is
+    taken from those two small tables. Country rollup, summary and outage episodes read the
+    history themselves."""
+    return _views(probes, *_tables(probes))
+
+
+def _tables(probes: DataFrame) -> tuple[DataFrame, DataFrame]:
     cube = settle(history.hourly_cube(probes), "cube")
-    latency = settle(history.latency_by_region(probes, ordered=False), "latency")
+    return cube, settle(history.latency_by_region(probes, ordered=False), "latency")
+
+
+def _views(probes: DataFrame, cube: DataFrame, latency: DataFrame) -> dict[str, DataFrame]:
     outages = history.outage_frequency(cube)
     return {
         "latency_by_region": latency.orderBy(F.desc("avg_latency_ms"), "region_id"),
@@ -30,15 +41,20 @@ def batch_views(probes: DataFrame) -> dict[str, DataFrame]:
         "hourly_health_trend": history.hourly_health_trend(cube),
         "top_affected": history.top_affected(latency, outages),
         "global_summary": history.global_summary(cube),
+        "country_rollup": history.country_rollup(probes),
+        "batch_summary": batch_summary(probes.sparkSession, probes),
+        "last_episodes": last_episodes(outage_episodes(probes)),
     }
 
 
 def run_batch(probes: DataFrame, root: str, fmt: str = "parquet") -> None:
-    for name, view in batch_views(probes).items():
+    cube, latency = _tables(probes)
+    for name, view in _views(probes, cube, latency).items():
         stamped = shown(view, name)
         if name == "global_summary":
             stamped = stamped.withColumn("computed_at", F.current_timestamp())
         write_view(stamped, f"{root}/batch/{name}", fmt)
+    discard(cube, latency)
 
 
 def main() -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netvitals.operators.storage import retained, time_ordered, with_hour
-from netvitals.plans.shared import settle
+from netvitals.plans.shared import discard, settle
 from netvitals.plans.timeframe import hour_of
 from netvitals.schema import PROBE_COLUMNS, PROBE_DDL
 from netvitals.sources.ndjson import dedup_events, lenient_ndjson
@@ -64,7 +64,9 @@ def compact_history(
     broken = settle(broken, "compact_rejects")
     if rejects is not None:
         broken.withColumn("source", F.lit(source)).write.mode("append").parquet(rejects)
-    return {"records": rows.count(), "rejects": broken.count()}
+    counts = {"records": rows.count(), "rejects": broken.count()}
+    discard(rows, merged, broken)
+    return counts
 
 
 def drop_expired(spark: SparkSession, path: str, as_of: int, days: int = 30) -> list[str]:

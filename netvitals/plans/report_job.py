@@ -29,7 +29,9 @@ def main() -> None:
     if args.out:
         write_view(rows, args.out, "json")
     else:
-        rows.show(1000, truncate=False)
+        # every row, a partition at a time through the driver
+        for line in rows.toJSON().toLocalIterator():
+            print(line)
     spark.stop()
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from netvitals import schema
 from netvitals.functions.rounding import shown
 from netvitals.operators import alerts, feed, serving, speed
-from netvitals.plans.shared import settle
 from netvitals.plans.store import publish, read_version
 from netvitals.sources.views import first_non_empty, read_view, stored_format
 
@@ -27,7 +26,8 @@ def run_merge(spark: SparkSession, root: str) -> None:
     window = _speed(spark, root, "window_aggregates", schema.WINDOW_DDL)
     latency = _batch(spark, root, "latency_by_region", schema.LATENCY_DDL)
     merged = serving.merge_regions(window, latency, ordered=False)
-    regions = settle(shown(merged, "merged_regions"), "merged")
+    # a row per region, read by three views
+    regions = shown(merged, "merged_regions").persist()
     overall = serving.merge_global(
         regions,
         _batch(spark, root, "global_summary", schema.BATCH_GLOBAL_DDL),
@@ -39,6 +39,7 @@ def run_merge(spark: SparkSession, root: str) -> None:
     publish(shown(overall, "merged_global").withColumns(at), f"{root}/merged/merged_global")
     top = serving.top_affected_regions(regions)
     publish(top.withColumns(at), f"{root}/merged/top_affected")
+    regions.unpersist()
 
 
 def live_state(spark: SparkSession, root: str, now: int | None = None) -> DataFrame:
@@ -92,7 +93,8 @@ def serve_view(
     if name == "observability":
         return alerts.observability_summary(live_regions())
     if name == "incidents":
-        return alerts.incidents(live_regions())
+        episodes = _batch(spark, root, "last_episodes", schema.EPISODE_DDL)
+        return alerts.incident_timeline(alerts.incidents(live_regions()), episodes)
     if name == "alerts":
         return alerts.alerts(live_regions(), now)
     raise KeyError(name)

@@ -43,4 +43,16 @@ def settle(frame: DataFrame, purpose: str = "settled") -> DataFrame:
     spark = frame.sparkSession
     path = fresh_path(spark, purpose)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    stored = spark.read.schema(frame.schema).parquet(path)
+    stored.settled_path = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the files of settled tables that nothing will read again. Jobs call it when
+    their outputs are written; a query's tables live as long as its lazy result may be read,
+    so give the folder an expiry rule for those."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.settled_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,7 @@
 """Column layouts of the tables the jobs read and write, as DDL strings."""
 
+# The wire's field names and the published views' columns, here and below.
+
 # One row per probe measurement. Sources fill different subsets, so every
 # column is nullable and the schema is always given, never inferred.
 PROBE_DDL = """
@@ -60,6 +62,8 @@ LATENCY_DDL = REGION_DDL + """,
     avg_health_score DOUBLE
 """
 
+EPISODE_DDL = "region_id STRING, start_ts TIMESTAMP, end_ts TIMESTAMP, duration_s BIGINT"
+
 BATCH_GLOBAL_DDL = """
     global_health_score DOUBLE, global_avg_latency DOUBLE, global_avg_loss DOUBLE,
     total_records BIGINT, total_outage_events BIGINT, countries_monitored BIGINT,

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from netvitals import schema
 from netvitals.functions.rounding import shown
 from netvitals.operators import feed, latest, speed
-from netvitals.operators.storage import time_ordered, with_hour
+from netvitals.operators.storage import with_hour
 from netvitals.plans.store import read_version, write_version
 from netvitals.plans.timeframe import between
 from netvitals.sources.ndjson import parse_lines
@@ -176,10 +176,12 @@ def apply_batch(
 
 
 def append_batch(batch: DataFrame, root: str, batch_id: int) -> None:
-    """Raw copy of a batch under hour=/batch=; a rerun replaces its own folders only."""
+    """Raw copy of a batch under hour=/batch=; a rerun replaces its own folders only. AQE
+    sizes the files: a small batch leaves one per hour, a large hour is split."""
     rows = with_hour(batch).withColumn("batch", F.lit(batch_id).cast("bigint"))
+    rows = rows.select(*schema.PROBE_COLUMNS, "ts", "hour", "batch").hint("rebalance", "hour")
     (
-        time_ordered(rows.select(*schema.PROBE_COLUMNS, "ts", "hour", "batch"))
+        rows.sortWithinPartitions("hour", "unix_ts")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("hour", "batch")

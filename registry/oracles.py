@@ -425,6 +425,22 @@ ORACLES: dict[str, str] = {
         WHERE coalesce(h.events, 0) < mean_per_hour * CAST(0.5 AS DOUBLE)""",
         "mean_per_hour",
     ),
+    "edit_rate_drop": sql(
+        f"""{LANGUAGES}, edits AS (
+          SELECT region_id, date_trunc('second', ts) AS ts
+          FROM ev JOIN languages ON event_type = language JOIN dim ON region_id = lang_region),
+        hourly AS (SELECT region_id, {HOUR.format('ts')} AS hour, count(*) AS events
+                   FROM edits GROUP BY 1, 2),
+        spans AS (SELECT region_id, min(hour) AS lo, max(hour) AS hi, sum(events) AS total
+                  FROM hourly GROUP BY 1),
+        grid AS (SELECT region_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour,
+                        CAST(total AS DOUBLE) / (date_diff('hour', lo, hi) + 1) AS mean_per_hour
+                 FROM spans) ---
+        SELECT g.region_id, g.hour, coalesce(h.events, 0) AS events, mean_per_hour
+        FROM grid g LEFT JOIN hourly h ON g.region_id = h.region_id AND g.hour = h.hour
+        WHERE coalesce(h.events, 0) < mean_per_hour * CAST(0.5 AS DOUBLE)""",
+        "mean_per_hour",
+    ),
     "hourly_raw": sql(
         "SELECT strftime(ts, '%Y%m%d_%H') AS hour, count(*) AS records FROM probes GROUP BY 1"
     ),

@@ -235,6 +235,12 @@ def rate_drop(spark, sf):
     return episodes.rate_drop(probes(spark, sf))
 
 
+@query
+def edit_rate_drop(spark, sf):
+    """Hours in which a region's edits fell below half of their mean: the disruption signal."""
+    return episodes.rate_drop(edit_activity(spark, sf))
+
+
 # ---- storage ----------------------------------------------------------------------------
 
 
@@ -336,7 +342,8 @@ def live_events(spark, sf):
 def _merged(spark, sf, ordered=False):
     p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     window = speed.trailing_window(p, as_of, MERGE_WINDOW_S, ordered=False)
-    latency = history.latency_by_region(p, ordered=False)
+    # the merge takes means only, so one pass will do
+    latency = history.latency_sketch(p, ordered=False)
     return serving.merge_regions(window, latency, ordered)
 
 
@@ -359,7 +366,7 @@ def merge_global(spark, sf):
     p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     window = speed.trailing_window(p, as_of, MERGE_WINDOW_S, ordered=False)
     window = settle(window, "window_view")
-    latency = history.latency_by_region(p, ordered=False)
+    latency = history.latency_sketch(p, ordered=False)
     regions = serving.merge_regions(window, latency, ordered=False)
     totals = settle(history.global_summary(p), "batch_totals")
     return serving.merge_global(regions, totals, speed.speed_global(window))
