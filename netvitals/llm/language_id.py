@@ -205,14 +205,16 @@ def identify(
 
     domains = rolled(keys[1:], hosts, "n_host", "n_domain")
     suffixes = rolled(keys[2:], hosts, "n_host", "n_suffix")
-    whole = F.broadcast(rolled([], hosts, "n_host", "n_all"))  # one row
+    # a number for each language
+    whole = rolled([], hosts, "n_host", "n_all").first()[0]
+    everything = F.array(*[F.lit(float(n or 0.0)) for n in whole])
 
     def meet(left: DataFrame, right: DataFrame, level: list[str]) -> DataFrame:
         named = right.select(*[F.col(c).alias(f"_{c}") for c in level], *[c for c in right.columns if c not in level])
         on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in level]
         return left.join(named, on).drop(*[f"_{c}" for c in level])
 
-    priors = meet(meet(hosts, domains, keys[1:]), suffixes, keys[2:]).join(whole)
+    priors = meet(meet(hosts, domains, keys[1:]), suffixes, keys[2:]).withColumn("n_all", everything)
     priors = settle(priors, "lang_priors")
     rows = meet(rows, priors, keys)
 
