@@ -98,9 +98,9 @@ def flush_speed(probes: DataFrame, root: str, batch_id: int, as_of: int, window_
         older = older.filter(F.col("ts") != F.timestamp_seconds(F.lit(as_of)))
         ring = older.unionByName(speed.kpi_history(kpis, 1))
         newest = ring.orderBy(F.desc("ts")).limit(speed.HISTORY_LEN)
-        write_version(window, f"{root}/speed/window_aggregates", batch_id)
         together(
             spark,
+            lambda: write_version(window, f"{root}/speed/window_aggregates", batch_id),
             lambda: write_version(kpis, f"{root}/speed/speed_global", batch_id),
             lambda: write_version(newest, ring_path, batch_id),
         )
@@ -141,19 +141,21 @@ def apply_batch(
     try:
         limit = int(time.time()) + CLOCK_SLACK_S
         batch = whole.filter(F.coalesce(F.col("unix_ts") <= limit, F.lit(False)))
-        # one value each; the event clock unless the caller sets another
-        newest_ts = batch.agg(F.max("unix_ts")).first()[0]
-        reached = stored["history"].agg(F.max(F.unix_seconds("ts"))).first()[0]
-        if not whole.isEmpty():
-            append_batch(whole, root, batch_id)
+        # a few values; the event clock unless the caller sets another
+        sound = F.col("unix_ts") <= limit
+        newest_ts, records = whole.agg(F.max(F.when(sound, F.col("unix_ts"))), F.count(F.lit(1))).first()
         if newest_ts is None:
+            if records:
+                append_batch(whole, root, batch_id)
             # versions must not skip a batch id: carry all views over
             for name, view in stored.items():
                 write_version(view, paths[name], batch_id)
             return
+        reached = stored["history"].agg(F.max(F.unix_seconds("ts"))).first()[0]
         as_of = now(batch) if now else max(newest_ts, reached or newest_ts)
 
         def window_views() -> None:
+            append_batch(whole, root, batch_id)
             recent = recent_batches(spark, root, as_of, window_s)
             flush_speed(recent, root, batch_id, as_of, window_s)
 
