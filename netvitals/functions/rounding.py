@@ -24,7 +24,6 @@ DIGITS = {
     "window_aggregates": _SPEED,
     "batch_aggregates": _SPEED,
     "merged_regions": _REGIONS,
-    "top_affected_regions": _REGIONS,
     "speed_global": _GLOBAL,
     "merged_global": _GLOBAL,
     "global_summary": _GLOBAL,

@@ -68,7 +68,8 @@ def serve_view(
         return first_non_empty(*stored, fallback)
 
     def live_regions() -> DataFrame:
-        return serving.normalized_regions(state)
+        # the same places as the stored views it stands in for
+        return shown(serving.normalized_regions(state), "merged_regions")
 
     if name == "map-data":
         window = _speed(spark, root, "window_aggregates", schema.WINDOW_DDL)
@@ -77,7 +78,7 @@ def serve_view(
     if name == "global":
         kpis = _speed(spark, root, "speed_global", schema.SPEED_GLOBAL_DDL)
         stored = merged("merged_global", schema.MERGED_GLOBAL_DDL)
-        return best(speed.live_global(state), stored, kpis)
+        return best(shown(speed.live_global(state), "merged_global"), stored, kpis)
     if name == "top-affected":
         top = serving.top_affected_regions(live_regions())
         return serving.top_affected_regions(best(top, merged("top_affected", schema.MERGED_DDL)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +13,6 @@ def hour_of(moment: Column) -> Column:
     return F.date_format(moment, HOUR_FORMAT)
 
 
-def newest(rows: DataFrame, column: str = "unix_ts") -> Column:
-    """The newest epoch second as a scalar subquery: lazy, one value, no join, no collect."""
-    return rows.agg(F.max(column)).scalar()
-
-
 def as_column(as_of) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(int(as_of)).cast("bigint")
 
@@ -35,12 +28,6 @@ def between(rows: DataFrame, as_of, seconds: int) -> DataFrame:
     return hour_pruned(kept, end - seconds, end)
 
 
-def since(rows: DataFrame, as_of, seconds: int) -> DataFrame:
-    """Rows not older than ``seconds`` before ``as_of``, without an upper bound."""
-    start = as_column(as_of) - seconds
-    return hour_pruned(rows.filter(F.col("unix_ts") >= start), start, None)
-
-
 def hour_pruned(rows: DataFrame, start: Column, end: Column | None) -> DataFrame:
     if "hour" not in rows.columns:
         return rows
@@ -48,9 +35,3 @@ def hour_pruned(rows: DataFrame, start: Column, end: Column | None) -> DataFrame
     if end is not None:
         rows = rows.filter(F.col("hour") <= hour_of(F.timestamp_seconds(end)))
     return rows
-
-
-def epoch(moment: dt.datetime) -> int:
-    if moment.tzinfo is None:
-        moment = moment.replace(tzinfo=dt.timezone.utc)
-    return int(moment.timestamp())

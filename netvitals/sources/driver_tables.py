@@ -150,15 +150,11 @@ def edit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language -> region: four event types map to the four nations named here."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(lang).alias("language"), F.lit(key).alias("key"))
-            for lang, key in (("click", 1), ("view", 2), ("signup", 3), ("purchase", 4))
-        ]
-    )
-    dim = regions(spark, sf_dir)
-    mapped = dim.select(F.explode(pairs).alias("p"), "region_id", "region_key")
-    mapped = mapped.filter("p.key = region_key").select("p.language", "region_id")
+    language = F.lit(None).cast("string")
+    for lang, key in (("click", 1), ("view", 2), ("signup", 3), ("purchase", 4)):
+        language = F.when(F.col("region_key") == key, lang).otherwise(language)
+    mapped = regions(spark, sf_dir).select(language.alias("language"), "region_id")
+    mapped = mapped.filter("language IS NOT NULL")
     return settle(mapped, "language_dim")
 
 
