@@ -88,15 +88,17 @@ def exact_dedup(docs: DataFrame, text: Column | None = None, prefer: str = "max"
     Rows that repeat the winning id with equal text are one content and leave one row.
     Rows with a null id stay only when no row of their content has an id.
     """
-    names = docs.columns
     content = F.coalesce(F.col("text") if text is None else text, F.lit(""))
     kept = exact_groups(docs, text, prefer=prefer).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    keyed = docs.withColumn("_kept_sha", F.sha2(F.encode(content, "UTF-8"), 256)).withColumn(
-        "_kept_text", content
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    # The row travels as one value, so that its columns clash with nothing here.
+    packed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"),
+        content.alias("content"),
+        F.sha2(F.encode(content, "UTF-8"), 256).alias("sha"),
     )
-    # The winner's id identifies its row save for repeats, which are merged below.
-    rows = keyed.join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (keyed["_kept_sha"] == kept["_kept_sha"]), "left_semi"
-    )
-    return rows.dropDuplicates(["doc_id", "_kept_sha", "_kept_text"]).select(*names)
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha"))
+    # The winner's id identifies its row save for repeats, which are merged here.
+    rows = packed.join(kept, same, "left_semi").dropDuplicates(["id", "sha", "content"])
+    return rows.select("row.*")

@@ -142,24 +142,28 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     row at a source's cut, one more with the words that are left of its budget.
 
     Takes the options of `mix`; rows of no words are not taken. ``n_chars``, if there, is set
-    to the length of a cut text. Rows that repeat an id with texts of equal size share one
+    to the length of a text that is cut. Rows that repeat an id with texts of equal size share one
     decision, the larger.
     """
-    names = docs.columns
-    taken = mix(docs, **options).filter("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("_taken"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_words"), "_taken")
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    met = sized.join(
-        taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
+    taken = mix(docs, **options).filter("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("taken"))
+    taken = taken.select(F.col("doc_id").alias("id"), F.col("size").alias("words"), "taken")
+    # The row travels as one value, so that its columns clash with nothing here.
+    packed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("row_id"),
+        word_count(F.col("text")).alias("size"),
     )
-    copies = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))
-    rows = met.withColumn("_copy", F.explode(copies))
-    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
+    met = packed.join(taken, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("size") == F.col("words")))
+    copies = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))
+    rows = met.withColumn("copy", F.explode(copies))
+    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
     # Words, each with the white space before it, up to the cut.
-    pieces = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)
+    text = F.col("row.text")
+    pieces = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)
     head = F.array_join(F.slice(pieces, 1, left.cast("int")), "")
-    text = F.when(left >= F.col("_size"), F.col("text")).otherwise(head)
-    rows = rows.withColumn("text", text)
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*names)
+    whole = left >= F.col("size")
+    row = F.col("row").withField("text", F.when(whole, text).otherwise(head))
+    if "n_chars" in docs.columns:
+        length = F.when(whole, F.col("row.n_chars")).otherwise(F.length(head))
+        row = row.withField("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return rows.select(row.alias("row")).select("row.*")

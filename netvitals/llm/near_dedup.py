@@ -98,21 +98,19 @@ def _set_maker(shingle: int):
     return run, "doc_id long, n long, members binary"
 
 
-def _forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the graph: (vertex, smallest vertex of its tree)."""
-    up = list(range(n))
-
-    def top(x):
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    for x, y in zip(left.tolist(), right.tolist()):
-        x, y = top(x), top(y)
-        if x != y:
-            up[max(x, y)] = min(x, y)
-    return [(x, top(x)) for x in range(n) if top(x) != x]
+def spanning_forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vertices, smallest vertex of their tree) of a graph, for all but those smallest ones.
+    Every round joins each tree to the smallest one it has an edge to."""
+    up = np.arange(n)
+    while len(left):
+        x, y = up[left], up[right]
+        open_ = x != y
+        left, right, x, y = left[open_], right[open_], x[open_], y[open_]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while (up[up] != up).any():
+            up = up[up]
+    rest = np.flatnonzero(up != np.arange(n))
+    return rest, up[rest]
 
 
 def linked_within(sets: list[np.ndarray], part: np.ndarray, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +148,8 @@ def _comparer(percent: int):
         same = rows[0][3] == rows[0][4]
         x, y = linked_within(sets, part[order], percent, same)
         ids = ids[order]
-        return [(int(ids[v]), int(ids[t])) for v, t in _forest(len(ids), x, y)]
+        v, top = spanning_forest(len(ids), x, y)
+        return list(zip(ids[v].tolist(), ids[top].tolist()))
 
     def run(batches):
         held, key, found = [], None, []
@@ -257,7 +256,7 @@ def near_groups(
     sets; component_id is the smallest id reachable. Defined cases: null or empty texts and
     texts of white space have n_shingles 0 and are linked with nothing; fewer words than a
     shingle form one shingle; rows that repeat an id are one document, counted with its
-    largest set (of equal size: the greatest fingerprint); each row with a null id is a document alone, its
+    largest set (links of any set of that size count); each row with a null id is a document alone, its
     component_id null and kept true; no rows give no rows. Only ``doc_id`` and ``text`` are
     read. Shingles are 64-bit hashes; sets with equal 128-bit sums count as equal.
     """
@@ -294,5 +293,5 @@ def near_groups(
 def near_dedup(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document stays: one of each group, all columns kept. Rows
     with a null id stay. Takes the options of `near_groups`."""
-    gone = near_groups(docs, **options).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    gone = near_groups(docs, **options).filter("NOT kept").select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

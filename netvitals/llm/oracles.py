@@ -71,12 +71,14 @@ WITH RECURSIVE lowered AS (
   FROM lowered
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), sized AS (
+  SELECT doc_id, s, n FROM sets JOIN sizes USING (doc_id)
+), alike AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM sized x JOIN sized y
+  ON x.s = y.s AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
 ), links AS (
-  SELECT a, b FROM (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
-    FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
-  JOIN sizes p1 ON p1.doc_id = a JOIN sizes p2 ON p2.doc_id = b
-  WHERE 100 * common >= 85 * (p1.n + p2.n - common)
+  SELECT a, b FROM alike UNION ALL SELECT b, a FROM alike
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION

@@ -12,7 +12,9 @@ from netvitals.llm.mixing import mix, mixed_documents
 
 def test_exact_groups_edge_rows(documents):
     rows = [(1, "a"), (7, "a"), (3, None), (4, ""), (5, "A"), (5, "A"), (None, "a"), (None, "solo"), (9, "x" * 200_000), (8, "x" * 200_000)]
-    docs = documents(*rows).withColumn("keep_id", F.lit("clash")).withColumn("_text", F.lit(1))
+    docs = documents(*rows)
+    for name in ("keep_id", "_text", "row", "id", "content", "sha", "kept", "text_sha256"):
+        docs = docs.withColumn(name, F.lit("clash"))
     got = exact_groups(docs).collect()
     size = defaultdict(int)
     best = {}
@@ -97,13 +99,17 @@ def test_mix_meets_its_budgets(documents, prose):
 
 
 def test_mixed_documents_repeat_and_cut(documents, prose):
-    docs = documents(*[(i, " " + prose(20, i), "en", "ab"[i % 2], 1) for i in range(20)], (99, None, None, "a"))
+    docs = documents(*[(i, " " + prose(20, i), "en", "ab"[i % 2], 121) for i in range(20)], (99, None, None, "a"))
+    for name in ("row", "row_id", "size", "words", "taken", "copy", "id"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    assert mixed_documents(docs).columns == docs.columns
     plan = {r.doc_id: r.taken for r in mix(docs).collect()}
     rows = mixed_documents(docs).collect()
     count = defaultdict(int)
     whole = {r.doc_id: r.text for r in docs.collect()}
     for r in rows:
         count[r.doc_id] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
-        assert whole[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
+        assert whole[r.doc_id].startswith(r.text)
+        assert r.n_chars == (121 if r.text == whole[r.doc_id] else len(r.text)) and r.row == "clash"
     assert dict(count) == {i: n for i, n in plan.items() if n}
     assert mixed_documents(docs.limit(0)).count() == 0 and mix(docs.limit(0)).count() == 0

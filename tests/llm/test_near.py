@@ -48,7 +48,9 @@ def test_groups_against_brute_force(documents, prose):
     rows += [(100 + i, edited(base, rng, rng.randint(0, 5))) for i in range(150)]
     rows += [(300 + i, other + " " + prose(rng.randint(2, 25), 1000 + i)) for i in range(90)]
     rows += [(400, None), (401, ""), (402, " \t\n"), (403, "one"), (404, "ONE"), (405, "one two"), (406, rows[3][1].upper())]
-    docs = documents(*rows).withColumn("kept", F.lit("clash")).withColumn("sig", F.lit(0))
+    docs = documents(*rows)
+    for name in ("kept", "sig", "gone", "n_shingles", "component_id"):
+        docs = docs.withColumn(name, F.lit("clash"))
     for size, percent in ((3, 85), (5, 80)):
         got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_groups(docs, size, percent, short_list=8).collect()}
         assert got == groups_by_hand(rows, size, percent)
@@ -66,6 +68,26 @@ def test_repeated_and_null_ids_and_no_rows(documents, prose):
     assert nd.near_groups(documents().limit(0)).count() == 0
 
 
+def test_spanning_forest_against_union_find():
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 0), (50, 30), (200, 220), (300, 299)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        if m == 299:
+            a, b = np.arange(299), np.arange(1, 300)  # a sorted chain
+        up = list(range(n))
+
+        def top(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist()):
+            x, y = top(x), top(y)
+            up[max(x, y)] = min(x, y)
+        v, t = nd.spanning_forest(n, a, b)
+        assert dict(zip(v.tolist(), t.tolist())) == {x: top(x) for x in range(n) if top(x) != x}
+
+
 def test_threshold_keeps_its_promise():
     from math import comb
 
