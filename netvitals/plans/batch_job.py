@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from netvitals.operators import history
 from netvitals.operators.alerts import last_episodes
 from netvitals.operators.episodes import outage_episodes
 from netvitals.plans.session import build_session
-from netvitals.plans.shared import discard, settle
+from netvitals.plans.shared import discard, settle, together
 from netvitals.plans.sql_views import batch_summary
 from netvitals.plans.store import write_view
 from netvitals.sources.ndjson import read_history, read_probes
@@ -29,8 +30,16 @@ def batch_views(probes: DataFrame) -> dict[str, DataFrame]:
 
 
 def _tables(probes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    cube = settle(history.hourly_cube(probes), "cube")
-    return cube, settle(history.latency_by_region(probes, ordered=False), "latency")
+    made: dict[str, DataFrame] = {}
+
+    def cube() -> None:
+        made["cube"] = settle(history.hourly_cube(probes), "cube")
+
+    def latency() -> None:
+        made["latency"] = settle(history.latency_by_region(probes, ordered=False), "latency")
+
+    together(probes.sparkSession, cube, latency)
+    return made["cube"], made["latency"]
 
 
 def _views(probes: DataFrame, cube: DataFrame, latency: DataFrame) -> dict[str, DataFrame]:
@@ -49,11 +58,16 @@ def _views(probes: DataFrame, cube: DataFrame, latency: DataFrame) -> dict[str,
 
 def run_batch(probes: DataFrame, root: str, fmt: str = "parquet") -> None:
     cube, latency = _tables(probes)
-    for name, view in _views(probes, cube, latency).items():
+
+    def write(name: str, view: DataFrame) -> None:
         stamped = shown(view, name)
         if name == "global_summary":
             stamped = stamped.withColumn("computed_at", F.current_timestamp())
         write_view(stamped, f"{root}/batch/{name}", fmt)
+
+    # the views are independent of each other
+    views = _views(probes, cube, latency)
+    together(probes.sparkSession, *[partial(write, name, view) for name, view in views.items()])
     discard(cube, latency)
 
 

@@ -12,9 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -23,6 +21,7 @@ from netvitals import schema
 from netvitals.functions.rounding import shown
 from netvitals.operators import feed, latest, speed
 from netvitals.operators.storage import with_hour
+from netvitals.plans.shared import together
 from netvitals.plans.store import read_version, write_version
 from netvitals.plans.timeframe import between
 from netvitals.sources.ndjson import parse_lines
@@ -109,14 +108,6 @@ def flush_speed(probes: DataFrame, root: str, batch_id: int, as_of: int, window_
         recent.unpersist()
 
 
-def together(spark: SparkSession, *actions: Callable[[], None]) -> None:
-    """Runs independent Spark actions at the same time; the first failure is raised."""
-    with ThreadPoolExecutor(len(actions)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
-        for action in running:
-            action.result()
-
-
 def apply_batch(
     batch: DataFrame,
     batch_id: int,
