@@ -104,12 +104,14 @@ def train_languages(labelled: DataFrame) -> LanguageModel:
     ValueError without labelled rows."""
     rows = labelled.filter("lang IS NOT NULL").select("lang", "text")
     counts = rows.mapInArrow(_counter, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    seen = counts.toPandas()  # languages x slots at most
-    languages = sorted(seen["lang"].unique())
+    seen = counts.toArrow()  # languages x slots at most
+    names = seen["lang"].to_pylist()
+    languages = sorted(set(names))
     if not languages:
         raise ValueError("no labelled rows to learn languages from")
     table = np.zeros((len(languages), SLOTS))
-    table[seen["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(), seen["slot"].to_numpy()] = seen["n"]
+    number = {x: i for i, x in enumerate(languages)}
+    table[[number[x] for x in names], seen["slot"].to_numpy()] = seen["n"].to_numpy()
     return LanguageModel(languages, table)
 
 
