@@ -124,3 +124,16 @@ def test_repeated_passages(documents, prose):
     assert got[201].rep_doc_id == 200 and got[201].last_word - got[201].first_word >= 50
     assert (got[300].first_word, got[300].last_word, got[300].rep_doc_id) == (0, 100, 0)
     assert repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_every_occurrence_in_a_document_is_found(documents, prose):
+    rows = []
+    for i in range(60):
+        passage = prose(50 + i % 30, f"twice {i}")
+        rows.append((i, f"{prose(40, f'a {i}')} {passage} {prose(40, f'b {i}')}"))
+        rows.append((100 + i, f"{prose(30, f'c {i}')} {passage} {prose(150, f'd {i}')} {passage} {prose(30, f'e {i}')}"))
+    got = sorted((r.doc_id, r.first_word, r.last_word, r.rep_doc_id) for r in repeated_passages(documents(*rows)).collect())
+    want = [(100 + i, at, at + 50 + i % 30, i) for i in range(60) for at in (30, 230 + i % 30)]
+    assert len(got) == len(want)
+    # A word beside the passage may agree by chance.
+    assert all(g[0] == w[0] and g[3] == w[3] and abs(g[1] - w[1]) + abs(g[2] - w[2]) < 3 for g, w in zip(got, want))
