@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from netvitals.llm import near_dedup as nd
-from netvitals.llm.substring_dedup import compact_windows, repeated_passages
+from netvitals.llm.substring_dedup import compact_windows, passages, repeated_passages
 
 
 def shingles(text, size):
@@ -137,3 +137,28 @@ def test_every_occurrence_in_a_document_is_found(documents, prose):
     assert len(got) == len(want)
     # A word beside the passage may agree by chance.
     assert all(g[0] == w[0] and g[3] == w[3] and abs(g[1] - w[1]) + abs(g[2] - w[2]) < 3 for g, w in zip(got, want))
+
+
+def test_repeating_passages_are_aligned(documents, prose):
+    rows, size = [], {}
+    for i, (n, times) in enumerate(((30, 3), (12, 10), (20, 4), (40, 2))):
+        line = " ".join([prose(n, f"line {i}")] * times)
+        size[100 + i] = n * times
+        rows.append((i, f"{prose(120, f'a {i}')} {line} {prose(40, f'b {i}')}"))
+        rows.append((100 + i, f"{prose(70, f'c {i}')} {line} {prose(40, f'd {i}')}"))
+    got = {r.doc_id: r for r in repeated_passages(documents(*rows)).collect()}
+    assert set(got) == set(size)
+    for i, n in size.items():
+        assert abs(got[i].first_word - 70) < 3 and abs(got[i].last_word - 70 - n) < 3
+        assert got[i].rep_doc_id == i - 100 and got[i].similarity == 1
+
+
+def test_partner_is_the_best_of_all_passages():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = rng.integers(0, 12, 40), rng.integers(0, 12, 30)
+        for p, q, x, y, share in passages(a, b, 4, 60, 0, 60):
+            every = (set(b[max(0, s) : s + q - p]) for s in range(p - q + 1, len(b)))
+            mine = set(a[p:q])
+            assert abs(share - max(len(mine & o) / len(mine | o) for o in every if o)) < 1e-9
+            assert abs(share - len(mine & set(b[x:y])) / len(mine | set(b[x:y]))) < 1e-9
