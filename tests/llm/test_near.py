@@ -162,3 +162,25 @@ def test_partner_is_the_best_of_all_passages():
             mine = set(a[p:q])
             assert abs(share - max(len(mine & o) / len(mine | o) for o in every if o)) < 1e-9
             assert abs(share - len(mine & set(b[x:y])) / len(mine | set(b[x:y]))) < 1e-9
+
+
+def test_passages_of_least_length_with_an_edit(documents, prose):
+    rows = []
+    for n in (50, 54):
+        for at in range(n):
+            i = 1000 * n + at
+            words = prose(n, f"edge {i}").split(" ")
+            rows.append((i, f"{prose(60, f'a {i}')} {' '.join(words)} {prose(60, f'b {i}')}"))
+            words[at] = "edited"
+            rows.append((i + 100, f"{prose(80, f'c {i}')} {' '.join(words)} {prose(60, f'd {i}')}"))
+    least = 46
+    for (i, a), (_, b) in zip(rows[::2], rows[1::2]):
+        tokens = [np.array([hash(tuple(t.split(" ")[k : k + 5])) for k in range(len(t.split(" ")) - 4)]) for t in (b, a)]
+        n, at = divmod(i, 1000)
+        common = n - 4 - min(at + 1, 5, n - at, n - 4)
+        found = list(passages(*tokens, least, 80, -20, 92))
+        # The whole passage, or its best part of 46 shingles, is 80 % alike.
+        assert len(found) == (common / (2 * (n - 4) - common) >= 0.8 or max(n - 4 - at - 1, at - 4) >= 41), (n, at)
+        assert all(p >= 70 and q <= 90 + n and q - p >= least for p, q, *_ in found)
+    got = {r.doc_id for r in repeated_passages(documents(*rows)).collect()}
+    assert len(got) >= 98, len(got)
