@@ -33,8 +33,9 @@ def feed_event(probes: DataFrame) -> DataFrame:
     )
 
 
-def outage_alert_stream(probes: DataFrame) -> DataFrame:
-    """Records worth pushing: flagged as outage or in a bad state. Works on streams."""
+def outage_alert_stream(probes: DataFrame, *keep: str) -> DataFrame:
+    """Records worth pushing: flagged as outage or in a bad state, with the columns ``keep``
+    beside the alert's own. Works on streams."""
     bad = F.coalesce("outage_detected", F.lit(False)) | F.coalesce(
         F.col("state").isin(*rules.OUTAGE_STATES), F.lit(False)
     )
@@ -47,6 +48,7 @@ def outage_alert_stream(probes: DataFrame) -> DataFrame:
         F.col("packet_loss_pct").alias("loss"),
         F.col("health_score").alias("health"),
         "ts",
+        *keep,
     )
 
 

@@ -73,8 +73,10 @@ def probe_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return parse_lines(line_stream(spark, path, files_per_trigger))[0]
 
 
-def dedup_events(rows: DataFrame, lateness: str | None = "10 minutes") -> DataFrame:
-    """One row per event_id, for at-least-once sources; rows without an id are all kept.
+def dedup_events(
+    rows: DataFrame, lateness: str | None = "10 minutes", keys: tuple[str, ...] = ("event_id",)
+) -> DataFrame:
+    """One row per event_id (or ``keys``), for at-least-once sources; rows without an id are all kept.
 
     On a stream, ids are remembered for ``lateness`` and later records are dropped, so use it
     for live views, never before an archive. A batch keeps the copy with the greatest (ts,
@@ -83,8 +85,8 @@ def dedup_events(rows: DataFrame, lateness: str | None = "10 minutes") -> DataFr
     known, nameless = rows.filter("event_id IS NOT NULL"), rows.filter("event_id IS NULL")
     if rows.isStreaming:
         # two branches of one source; the watermark stays with the branch that needs it
-        return known.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"]).unionByName(nameless)
+        return known.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(list(keys)).unionByName(nameless)
     content = F.xxhash64(*[F.col(c) for c in rows.columns])
-    newest = Window.partitionBy("event_id").orderBy(F.desc("ts"), content)
+    newest = Window.partitionBy(*keys).orderBy(F.desc("ts"), content)
     first = known.withColumn("_copy", F.row_number().over(newest)).filter("_copy = 1").drop("_copy")
     return first.unionByName(nameless)

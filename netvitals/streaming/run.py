@@ -4,7 +4,8 @@ seconds beside it.
     spark-submit -m netvitals.streaming.run --input <ndjson folder> --output <root>
 
 The archive takes every record; only the live views drop repeats. Outage alerts, long metrics
-and closed windows are kept as tables under <root>/streams.
+and closed windows are kept as tables under <root>/streams. Alerts and metrics take late and
+repeated records too: read them with `kept_alerts` and `kept_metrics`, which drop repeats.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter
 
 from netvitals.operators import feed, storage
 from netvitals.plans.serve import run_merge
 from netvitals.plans.session import build_session
 from netvitals.sources.ndjson import dedup_events, line_stream, probe_stream
+from netvitals.sources.views import read_view
 from netvitals.streaming.jobs import (
     kpi_table,
     paced,
@@ -31,20 +34,47 @@ MERGE_EVERY_S = 15
 log = logging.getLogger(__name__)
 
 
-def start_all(spark: SparkSession, source: str, root: str, window_s: int, every: str | None) -> list:
-    """Starts every query of the speed layer over ``source``; each has its own checkpoint."""
-    probes = probe_stream(spark, source)
-    unique = dedup_events(probe_stream(spark, source))
+ALERTS_DDL = (
+    "region STRING, country STRING, flag STRING, severity STRING, latency DOUBLE, loss DOUBLE, "
+    "health DOUBLE, ts TIMESTAMP, event_id STRING"
+)
+METRICS_DDL = (
+    "event_id STRING, ts TIMESTAMP, region STRING, country STRING, metric STRING, value DOUBLE, unit STRING"
+)
+
+
+def kept_tables(probes: DataFrame, root: str) -> dict[str, DataStreamWriter]:
+    """Alerts and long metrics of every record, however late."""
 
     def table(rows, name):
         return rows.writeStream.format("parquet").option("path", f"{root}/streams/{name}")
 
+    return {
+        "alerts": table(feed.outage_alert_stream(probes, "event_id"), "outage_alerts"),
+        "metrics": table(storage.metrics_long(probes), "metrics_long"),
+    }
+
+
+def kept_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """The kept alerts, each event once; those without an id are all there."""
+    return dedup_events(read_view(spark, f"{root}/streams/outage_alerts", ALERTS_DDL))
+
+
+def kept_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """The kept metrics, each metric of an event once; those without an id are all there."""
+    rows = read_view(spark, f"{root}/streams/metrics_long", METRICS_DDL)
+    return dedup_events(rows, keys=("event_id", "metric"))
+
+
+def start_all(spark: SparkSession, source: str, root: str, window_s: int, every: str | None) -> list:
+    """Starts every query of the speed layer over ``source``; each has its own checkpoint."""
+    probes = probe_stream(spark, source)
+    unique = dedup_events(probe_stream(spark, source))
     writers = {
         "raw": raw_history(probes, f"{root}/history"),
         "rejects": raw_rejects(line_stream(spark, source), f"{root}/rejects"),
         "speed": speed_layer(unique, root, window_s),
-        "alerts": table(feed.outage_alert_stream(unique), "outage_alerts"),
-        "metrics": table(storage.metrics_long(unique), "metrics_long"),
+        **kept_tables(probes, root),
         "windows": sliding_window_table(probes, f"{root}/streams/sliding_windows"),
         "kpis": kpi_table(probes, f"{root}/streams/kpis"),
     }

@@ -203,3 +203,19 @@ def test_replayed_and_empty_batches_change_nothing(spark, probes, tmp_path):
     jobs.apply_batch(probes().limit(0), 3, root)
     assert snapshot() == before
     assert spark.read.parquet(f"{root}/raw_batches").count() == 90
+
+
+def test_kept_alerts_and_metrics_take_late_records_once(spark, tmp_path):
+    from netvitals.streaming import run as live
+
+    rows = [{**r, "outage_detected": True} for r in make_rows(60, 7200, seed=9)]
+    folder, root = tmp_path / "raw", str(tmp_path / "root")
+    write_file(folder, "0.ndjson", rows[30:], 0)
+    write_file(folder, "1.ndjson", [{"unix_ts": T0 + 9000, "region_id": "a"}], 1)
+    write_file(folder, "2.ndjson", rows[:35], 2)  # an hour late, five of them delivered again
+    for name, writer in live.kept_tables(ndjson.probe_stream(spark, str(folder), 1), root).items():
+        run(writer, str(tmp_path / name))
+    ids = {r["event_id"] for r in rows}
+    alerts, metrics = live.kept_alerts(spark, root).collect(), live.kept_metrics(spark, root).collect()
+    assert len(alerts) == 60 and {r["event_id"] for r in alerts} == ids
+    assert len(metrics) == 3 * 61 and {r["event_id"] for r in metrics} == ids | {None}
