@@ -14,6 +14,7 @@ from netvitals.llm.licenses import scan_licenses
 from netvitals.llm.mixing import mix
 from netvitals.llm.near_dedup import near_groups
 from netvitals.llm.oracles import ORACLES
+from netvitals.llm.periodic_runs import run_digests
 from netvitals.llm.preference import alternate_endings, preference_rows
 from netvitals.llm.sentencepiece_codec import encode_documents
 from netvitals.llm.substring_dedup import repeated_passages
@@ -87,6 +88,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 24 words and three periods and more, a tenth of the documents made periodic."""
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_preference_chat": op1_preference_chat,
     "op2_license_scan": op2_license_scan,
@@ -98,6 +104,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 __all__ = ["QUERIES", "ORACLES"]
