@@ -142,10 +142,39 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, c
 FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
 """
 
+TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, {TERMS} AS terms FROM documents
+), len AS (
+  SELECT doc_id, len(terms) AS n FROM d WHERE len(terms) > 0
+), total AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM len
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total
+), wanted AS (
+  SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM wanted JOIN weight USING (term) JOIN tf USING (term) JOIN len USING (doc_id), total GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
 ORACLES = {
     "op1_preference_chat": OP1,
     "op3_minhash_near_dedup": OP3,
     "op4_exact_dedup": OP4,
     "op6_embedding_near_dedup": OP6,
     "op10_mixing": OP10,
+    "op12_lexical_search": OP12,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from netvitals.llm.embedding_dedup import embedding_groups
 from netvitals.llm.exact_dedup import exact_groups
 from netvitals.llm.language_id import identify_corpus
+from netvitals.llm.lexical_search import search
 from netvitals.llm.licenses import scan_licenses
 from netvitals.llm.mixing import mix
 from netvitals.llm.near_dedup import near_groups
@@ -88,6 +89,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for the terms of each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 24 words and three periods and more, a tenth of the documents made periodic."""
     return run_digests(table(spark, sf_dir, "documents"))
@@ -104,6 +110,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -6,18 +6,22 @@ contains those bytes, so this equals splitting the text by code points.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_RNG = np.random.default_rng(20240611)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)  # a random value for each byte
-_FOLD = _BYTE.copy()
-_FOLD[65:91] = _BYTE[97:123]  # A-Z count as a-z
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: What parts the terms of a search: ASCII other than letters and digits.
+TERM_BREAKS = np.ones(256, bool)
+TERM_BREAKS[128:] = TERM_BREAKS[48:58] = TERM_BREAKS[65:91] = TERM_BREAKS[97:123] = False
+#: Longer words are hashed one by one.
+_LONG = 64
+_FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,10 +54,12 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(
+    data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first): byte spans of the words, and for each text (and one past the
-    last) the index of its first word."""
-    solid = ~_SPACE[data]
+    last) the index of its first word. ``breaks`` tells the bytes that are in no word."""
+    solid = ~breaks[data]
     before = np.zeros(len(data), bool)
     before[1:] = solid[:-1]
     inner = offsets[:-1][offsets[:-1] < len(data)]
@@ -69,13 +75,31 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:
     """A 64-bit hash of each word's bytes, A-Z folded to a-z if asked: equal words have equal
-    hashes wherever they stand; different ones collide with probability near 2**-64."""
-    n = len(data)
-    table = _FOLD if fold else _BYTE
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[data] * powers(_BASE, n), out=total[1:])
-    own = (total[end] - total[start]) * powers(_INVERSE, n)[start] if n else total[:0]
-    return mix(own + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashes wherever they stand.
+
+    Words are read in blocks of eight bytes, each mixed into the hash before the next, so that no
+    algebra of positions makes words collide; words of up to eight bytes and one length never do.
+    Long ones get a cryptographic hash each.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    if fold:
+        data = _LOWER[data]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    block = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # eight bytes from each place
+    n = end - start
+    h = mix((n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (block[start] & _FIRST_BYTES[np.minimum(n, 8)]))
+    live = np.flatnonzero((n > 8) & (n <= _LONG))
+    at = 8
+    while len(live):
+        own = block[start[live] + at] & _FIRST_BYTES[np.minimum(n[live] - at, 8)]
+        h[live] = mix(h[live] * np.uint64(0x9FB21C651E98DF25) ^ own)
+        at += 8
+        live = live[n[live] > at]
+    for i in np.flatnonzero(n > _LONG).tolist():
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -48,3 +48,22 @@ def test_pieces_cover_every_text_and_longer_ones_alone():
         seen += [bytes(data[a:b]).decode() for a, b in zip(offsets[:-1], offsets[1:])]
         assert hi - lo == len(offsets) - 1
     assert seen == [t or "" for t in texts]
+
+
+def thue_morse(bits, zero="a", one="b"):
+    out = [0]
+    for _ in range(bits):
+        out += [1 - x for x in out]
+    return "".join(one if x else zero for x in out)
+
+
+def test_words_that_defeat_polynomial_hashes_differ():
+    for bits in (3, 5, 6, 10, 12):
+        w, v = thue_morse(bits), thue_morse(bits, "b", "a")
+        data, offsets = utf8(pa.array([w, v, w.upper(), w + "c", w]))
+        h = word_hashes(data, offsets[:-1], offsets[1:])
+        assert h[0] == h[2] == h[4] and len(set(h.tolist())) == 3
+        exact = word_hashes(data, offsets[:-1], offsets[1:], fold=False)
+        assert exact[0] == exact[4] != exact[2]
+        values, first = shingle_sets(data, offsets, 3)
+        assert set(values[first[0] : first[1]]) != set(values[first[1] : first[2]])
