@@ -170,11 +170,84 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 WHERE rank <= 50
 """
 
+OP11 = r"""
+WITH RECURSIVE rules(domain, prefix, rule_verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), parted AS (
+  SELECT page_id, html, row_number() OVER () AS id,
+         CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) END AS rest
+  FROM pages
+), given AS (
+  SELECT page_id, html, id,
+         translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1), '') AS path
+  FROM parted
+), matched AS (
+  SELECT id, domain || prefix AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY id ORDER BY length(domain || prefix) DESC, length(domain) DESC) AS n
+  FROM given JOIN rules
+    ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, prefix)
+), ruled AS (
+  SELECT g.*, rule, rule_verdict FROM given g LEFT JOIN (SELECT * FROM matched WHERE n = 1) m ON g.id = m.id
+), hosts AS (
+  SELECT host, count(*) FILTER (rule_verdict = 'allow') / count(*) AS trust,
+         count(*) FILTER (rule_verdict = 'block') / count(*) AS distrust
+  FROM ruled GROUP BY host
+), found AS (
+  SELECT DISTINCT id, host AS a, translate(unnest(regexp_extract_all(html,
+    '(?i)<a\s[^<>]*?\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]{0,20}:)?//([^/?#"''<>\s]+)', 1)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS b
+  FROM given WHERE host <> ''
+), links AS (
+  SELECT a, b, n / sum(n) OVER (PARTITION BY a) AS w
+  FROM (SELECT a, b, count(*) AS n FROM found WHERE a <> b GROUP BY a, b)
+), named AS (
+  SELECT DISTINCT host FROM (SELECT host FROM hosts UNION ALL SELECT b FROM links)
+  WHERE host <> '' AND length(host) <= 253 AND NOT regexp_matches(host, '(^|\.)[0-9]+(:[0-9]+)?$')
+), above(a, b) AS (
+  SELECT host, host FROM named
+  UNION
+  SELECT b, substr(b, strpos(b, '.') + 1) FROM above WHERE contains(substr(b, strpos(b, '.') + 1), '.')
+), near AS (
+  SELECT DISTINCT a, b FROM above WHERE a <> b AND contains(a, '.')
+), ways AS (
+  SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), weighed AS (
+  SELECT a, b, sum(w) AS w FROM (
+    SELECT a, b, w FROM links UNION ALL SELECT a, b, 0.25::DOUBLE / count(*) OVER (PARTITION BY a) FROM ways)
+  GROUP BY a, b
+), edges AS (
+  SELECT a, b, w / sum(w) OVER (PARTITION BY a) AS w FROM weighed
+), flows AS (
+  SELECT a AS src, b AS dst, 'trust' AS kind, w FROM edges
+  UNION ALL
+  SELECT b, a, 'distrust', w / sum(w) OVER (PARTITION BY b) FROM edges
+), steps(n, host, kind, score) AS (
+  SELECT 0, host, kind, seed * 0.15::DOUBLE
+  FROM (SELECT host, 'trust' AS kind, trust AS seed FROM hosts UNION ALL SELECT host, 'distrust', distrust FROM hosts)
+  WHERE seed > 0
+  UNION ALL
+  SELECT n + 1, dst, s.kind, sum(w * score * 0.85::DOUBLE)
+  FROM steps s JOIN flows f ON s.host = f.src AND s.kind = f.kind WHERE n < 43 GROUP BY n, dst, s.kind
+), sides AS (
+  SELECT host, round(coalesce(sum(score) FILTER (kind = 'trust'), 0), 9) AS trust,
+         round(coalesce(sum(score) FILTER (kind = 'distrust'), 0), 9) AS distrust
+  FROM steps GROUP BY host
+)
+SELECT page_id, r.host, path, rule,
+       coalesce(rule_verdict, CASE WHEN round(distrust - 0.5::DOUBLE * (trust + distrust), 9) > 0
+                                   THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r LEFT JOIN sides s ON r.host = s.host
+"""
+
 ORACLES = {
     "op1_preference_chat": OP1,
     "op3_minhash_near_dedup": OP3,
     "op4_exact_dedup": OP4,
     "op6_embedding_near_dedup": OP6,
     "op10_mixing": OP10,
+    "op11_url_filter": OP11,
     "op12_lexical_search": OP12,
 }

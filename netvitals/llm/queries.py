@@ -20,6 +20,7 @@ from netvitals.llm.preference import alternate_endings, preference_rows
 from netvitals.llm.sentencepiece_codec import encode_documents
 from netvitals.llm.substring_dedup import repeated_passages
 from netvitals.llm.toxicity import score_documents
+from netvitals.llm.url_filter import judge_urls, query_rules
 
 
 #: Vocabulary files are never copied here; the path is a parameter of the operators.
@@ -89,6 +90,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every address by five rules, the others by the trust and distrust of their hosts."""
+    judged = judge_urls(table(spark, sf_dir, "pages"), query_rules(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents for the terms of each benchmark item."""
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -110,6 +117,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op11_url_filter": op11_url_filter,
     "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
