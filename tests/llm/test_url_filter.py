@@ -79,7 +79,7 @@ def brute(rows, rules, kin=0.25, damping=0.85, tolerance=1e-3):
             near[host].add(up)
             near[up].add(host)
             host = up
-    for a, to in near.items():
+    for a, to in near.items() if kin else ():
         for b in to:
             weight[a][b] += kin / len(to)
     edges = [(a, b, w / sum(to.values())) for a, to in weight.items() for b, w in to.items()]
