@@ -16,9 +16,16 @@ def outage_episodes(probes: DataFrame, chunk_s: int = 3600) -> DataFrame:
     hot region stay spread over its chunks. ``chunk_s`` is a tuning value: runs that
     cross chunks get the same name in each and are joined by it.
     """
+    return joined_episodes(*episode_pieces(probes, chunk_s))
+
+
+def episode_pieces(probes: DataFrame, chunk_s: int = 3600) -> tuple[DataFrame, DataFrame]:
+    """(pieces, totals): the outage runs within each (region, time chunk), named by the good
+    records of the chunk before them, and the chunk's number of good records. Both depend on the
+    records of their chunk alone, so chunks can be stored and redone one by one."""
     outage = F.coalesce("outage_detected", F.lit(False))
     rows = probes.select(
-        # never null, so that the join below is a plain one and keeps the partitioning
+        # never null, so that the join of pieces and totals is a plain one
         F.coalesce("region_id", F.lit("unknown")).alias("region_id"),
         "country_code",
         "country_name",
@@ -41,9 +48,15 @@ def outage_episodes(probes: DataFrame, chunk_s: int = 3600) -> DataFrame:
             F.min(F.when(F.col("outage"), F.col("ts"))).alias("start_ts"),
             F.max(F.when(F.col("outage"), F.col("ts"))).alias("end_ts"),
         )
+        .filter("records > 0")
     )
     # a pass of its own over two columns, counted map-side: cheaper than the ordered rows
     totals = rows.groupBy("region_id", "chunk").agg(F.count_if(~F.col("outage")).alias("good"))
+    return pieces, totals
+
+
+def joined_episodes(pieces: DataFrame, totals: DataFrame) -> DataFrame:
+    """Episodes from the pieces and totals of all chunks."""
     earlier = W.partitionBy("region_id").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
         F.col("region_id").alias("_region"),
@@ -51,8 +64,7 @@ def outage_episodes(probes: DataFrame, chunk_s: int = 3600) -> DataFrame:
         F.coalesce(F.sum("good").over(earlier), F.lit(0)).alias("good_before"),
     )
     named = (
-        pieces.filter("records > 0")
-        .join(
+        pieces.join(
             offsets,
             (F.col("region_id") == F.col("_region")) & (F.col("chunk") == F.col("_chunk")),
         )

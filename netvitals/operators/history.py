@@ -1,7 +1,7 @@
 """Full-history views per region, country and hour.
 
-``outage_frequency``, ``hourly_health_trend`` and ``global_summary`` take probe rows or an
-:func:`hourly_cube` made from them.
+``outage_frequency``, ``hourly_health_trend``, ``global_summary`` and ``country_rollup`` take probe
+rows or an :func:`hourly_cube` made from them.
 """
 
 from __future__ import annotations
@@ -141,6 +141,8 @@ def country_rollup(probes: DataFrame, wire_digits: tuple[int, int, int] | None =
     100). ``wire_digits=(3, 3, 2)`` rounds rtt, loss and health per record before they are
     summed, as a text exchange between map and reduce steps would.
     """
+    if "rtt_sum" in probes.columns:
+        return _country_view(_filled_cube(probes))
     filled = probes.select(
         F.coalesce("country_code", F.lit("XX")).alias("country_code"),
         F.coalesce("region_id", F.lit("unknown")).alias("region_id"),
@@ -152,8 +154,29 @@ def country_rollup(probes: DataFrame, wire_digits: tuple[int, int, int] | None =
     if wire_digits is not None:
         columns = ["avg_rtt_ms", "packet_loss_pct", "health_score"]
         filled = filled.withColumns({c: F.round(c, d) for c, d in zip(columns, wire_digits)})
+    return _country_view(filled.groupBy("country_code", "region_id").agg(*partial_sums()))
+
+
+def _filled_cube(cube: DataFrame) -> DataFrame:
+    """Sums per country and region of a cube, absent fields counted with their defaults."""
+
+    def filled(name: str, default: float) -> Column:
+        return F.coalesce(f"{name}_sum", F.lit(0.0)) + default * (F.col("n") - F.col(f"{name}_n"))
+
+    defaults = {"rtt": 0.0, "loss": 0.0, "health": 100.0}
+    rows = cube.withColumns(
+        {
+            "country_code": F.coalesce("country_code", F.lit("XX")),
+            "region_id": F.coalesce("region_id", F.lit("unknown")),
+            **{f"{name}_sum": filled(name, default) for name, default in defaults.items()},
+            **{f"{name}_n": F.col("n") for name in defaults},
+        }
+    )
+    return rows.groupBy("country_code", "region_id").agg(*merge_sums())
+
+
+def _country_view(per_region: DataFrame) -> DataFrame:
     # region names are collected from (country, region) rows, never from probe rows
-    per_region = filled.groupBy("country_code", "region_id").agg(*partial_sums())
     return (
         per_region.groupBy("country_code")
         .agg(*merge_sums(), F.sort_array(F.collect_set("region_id")).alias("affected_regions"))

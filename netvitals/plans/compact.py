@@ -13,8 +13,17 @@ from netvitals.sources.ndjson import dedup_events, lenient_ndjson
 from netvitals.sources.views import read_view
 
 
+def _refuse_stream_target(spark: SparkSession, path: str) -> None:
+    """A folder of the file sink has a list of its files that an overwrite or a removal would
+    break; `netvitals.plans.archive` is the history that streams and batch jobs can share."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        raise ValueError(f"{path} belongs to a stream")
+
+
 def write_history(rows: DataFrame, path: str, records_per_file: int = 5_000_000) -> None:
     """Replaces the hours that occur in ``rows``."""
+    _refuse_stream_target(rows.sparkSession, path)
     hourly = with_hour(rows).select(*PROBE_COLUMNS, "ts", "hour")
     (
         time_ordered(hourly)
@@ -72,6 +81,7 @@ def compact_history(
 def drop_expired(spark: SparkSession, path: str, as_of: int, days: int = 30) -> list[str]:
     """Removes the hour folders of ``path`` that lie wholly before the retention; returns their
     hours. Only folder names are read."""
+    _refuse_stream_target(spark, path)
     limit = spark.range(1).select(hour_of(F.timestamp_seconds(F.lit(as_of - days * 86_400)))).first()[0]
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

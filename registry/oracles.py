@@ -637,6 +637,45 @@ ORACLES: dict[str, str] = {
     "raw_archive_stream": sql(
         "SELECT strftime(ts, '%Y%m%d_%H') AS hour, count(*) AS records FROM probes GROUP BY 1"
     ),
+    "archive_lifecycle": sql(
+        """SELECT strftime(ts, '%Y%m%d_%H') AS hour, count(*) AS records, count(*) AS events,
+               avg(health_score) AS avg_health_score
+        FROM probes, clock
+        WHERE date_trunc('hour', ts) >= date_trunc('hour', make_timestamp((as_of - 10 * 86400) * 1000000))
+        GROUP BY 1""",
+        "avg_health_score",
+    ),
+    "batch_incremental": sql(
+        f"""{EPISODES},
+        last_episode AS (
+          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY region_id ORDER BY start_ts DESC) AS rn
+                         FROM episodes) WHERE rn = 1),
+        summary AS (
+          SELECT country_code, country_name, region_id, region_name, continent,
+                 count(*) AS total_probes, avg(avg_rtt_ms) AS avg_latency_ms,
+                 min(avg_rtt_ms) AS min_latency_ms, max(avg_rtt_ms) AS max_latency_ms,
+                 avg(packet_loss_pct) AS avg_packet_loss_pct, avg(health_score) AS avg_health_score,
+                 CAST(sum(CAST(outage_detected AS INT)) AS BIGINT) AS total_outages
+          FROM probes GROUP BY 1, 2, 3, 4, 5) ---
+        SELECT s.*, start_ts, end_ts, duration_s
+        FROM summary s LEFT JOIN last_episode e ON s.region_id = e.region_id""",
+        "avg_latency_ms", "min_latency_ms", "max_latency_ms", "avg_packet_loss_pct",
+        "avg_health_score", "duration_s",
+    ),
+    "latency_range": sql(
+        f"""SELECT region_id, count(*) AS probe_count, TRUE AS p50_near, TRUE AS p95_near
+        FROM probes, clock
+        WHERE {HOUR.format('ts')} >= {HOUR.format(AT.format('as_of - 604800'))} GROUP BY 1"""
+    ),
+    "outage_overlap": sql(
+        f"""ends AS (SELECT {HOUR.format(AT.format('as_of'))} AS hour FROM clock),
+        first AS (SELECT DISTINCT region_id FROM probes, ends WHERE outage_detected AND ts >= hour),
+        second AS (SELECT DISTINCT region_id FROM probes, ends
+                   WHERE outage_detected AND ts < hour AND ts >= hour - INTERVAL 1 DAY) ---
+        SELECT (SELECT count(*) FROM first) AS in_first, (SELECT count(*) FROM second) AS in_second,
+               (SELECT count(*) FROM (FROM first UNION FROM second)) AS in_either,
+               (SELECT count(*) FROM (FROM first INTERSECT FROM second)) AS in_both"""
+    ),
     # the watermark is ten minutes behind the newest event
     "stream_sliding_windows": sql(
         f"""{SLIDING} ---

@@ -24,7 +24,7 @@ from netvitals.operators import (
     speed,
     storage,
 )
-from netvitals.plans import compact, serve, sql_views
+from netvitals.plans import archive, compact, incremental, serve, snapshots, sql_views
 from netvitals.plans.shared import fresh_path, settle
 from netvitals.sources import driver_tables as tables
 from netvitals.sources import ndjson, normalize
@@ -502,11 +502,93 @@ def raw_archive_stream(spark, sf):
     return storage.hourly_raw(ndjson.read_history(spark, path).drop("hour"))
 
 
-def _run(spark, writer) -> None:
-    query_ = jobs.paced(writer, fresh_path(spark, "progress"), every=None).start()
+def _run(spark, writer, progress: str | None = None) -> None:
+    query_ = jobs.paced(writer, progress or fresh_path(spark, "progress"), every=None).start()
     query_.awaitTermination()
 
 
+LIFECYCLE_SHIFT_S = 20 * 86_400
+
+
+@query
+def archive_lifecycle(spark, sf):
+    """One archive through its life: two thirds of the records stream in, hours are compacted,
+    late and repeated records stream in, the oldest ten days expire, a delivery brings records
+    once more, and what changed is compacted again."""
+    lines = spark.read.text(_ndjson(spark, sf))
+    number = F.get_json_object("value", "$.event_id").cast("bigint")
+    source_, root, progress = (fresh_path(spark, f"life_{p}") for p in ("in", "archive", "progress"))
+    lines.filter(number % 3 != 0).write.text(source_)
+    _run(spark, archive.archive_stream(ndjson.probe_stream(spark, source_, 50), root), progress)
+    archive.compact_archive(spark, root, least=1)
+    lines.filter((number % 3 == 0) | (number % 7 == 0)).write.mode("append").text(source_)
+    _run(spark, archive.archive_stream(ndjson.probe_stream(spark, source_, 50), root), progress)
+    as_of = spark.range(1).select(tables.newest_event(spark, sf)).first()[0] + LIFECYCLE_SHIFT_S
+    archive.expire_archive(spark, root, as_of)
+    delivery = fresh_path(spark, "life_delivery")
+    lines.filter(number % 5 == 0).write.text(delivery)
+    archive.append_delivery(spark, delivery, root, as_of)
+    archive.expire_archive(spark, root, as_of)
+    archive.compact_archive(spark, root)
+    snapshots.vacuum(spark, root, keep=1, grace_s=0)
+    stored = archive.read_archive(spark, root)
+    return stored.groupBy("hour").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("event_id").alias("events"),
+        F.avg("health_score").alias("avg_health_score"),
+    )
+
+
+@query
+def batch_incremental(spark, sf):
+    """Batch views of an archive after a first run over all but the last two hours and a second
+    over these: the summary per region with its last outage episode."""
+    root, store = fresh_path(spark, "increment"), fresh_path(spark, "increment_archive")
+    p = jobs.as_probe_rows(probes(spark, sf))
+    late = F.col("unix_ts") >= tables.newest_event(spark, sf) - 3_600
+    snapshots.append(storage.time_ordered(storage.with_hour(p.filter(~late))), store)
+    incremental.refresh(spark, store, root)
+    snapshots.append(storage.time_ordered(storage.with_hour(p.filter(late))), store)
+    incremental.refresh(spark, store, root)
+    made = incremental.views(incremental.stored_cube(spark, root), incremental.stored_episodes(spark, root))
+    return made["batch_summary"].join(made["last_episodes"], "region_id", "left")
+
+
+def _cube(spark, sf) -> DataFrame:
+    """The stored cube of all records, with its hours as times."""
+    rows = incremental.cube_rows(storage.with_hour(probes(spark, sf)))
+    stored = settle(rows, "cube")
+    return stored.withColumn("hour", F.to_timestamp("hour", "yyyyMMdd_HH"))
+
+
+@query
+def latency_range(spark, sf):
+    """Median and 95th percentile of the last week's hours from the cube's sketches: whether the
+    rank of each among the records is within 2.5 % of what it should be."""
+    start = F.date_trunc("hour", F.timestamp_seconds(tables.newest_event(spark, sf) - WEEK_S))
+    view = incremental.latency_range(_cube(spark, sf).filter(F.col("hour") >= start))
+    view = settle(view.select("region_id", "probe_count", "p50_latency_ms", "p95_latency_ms"), "ranges")
+    rows = probes(spark, sf).filter(F.date_trunc("hour", "ts") >= start).select("region_id", "avg_rtt_ms")
+    near = [
+        (F.count_if(F.col("avg_rtt_ms") < F.col(c)) / F.count(F.lit(1)) <= p + 0.025)
+        & (F.count_if(F.col("avg_rtt_ms") <= F.col(c)) / F.count(F.lit(1)) >= p - 0.025)
+        for c, p in (("p50_latency_ms", 0.5), ("p95_latency_ms", 0.95))
+    ]
+    return rows.join(view, "region_id").groupBy("region_id", "probe_count").agg(
+        near[0].alias("p50_near"), near[1].alias("p95_near")
+    )
+
+
+@query
+def outage_overlap(spark, sf):
+    """Regions with an outage in the last hour of records, in the day before it, and in both."""
+    cube, end = _cube(spark, sf), F.date_trunc("hour", F.timestamp_seconds(tables.newest_event(spark, sf)))
+    day = end - F.expr("INTERVAL 1 DAY")
+    return incremental.regions_in_outage(
+        cube.filter(F.col("hour") >= end), cube.filter((F.col("hour") < end) & (F.col("hour") >= day))
+    )
+
+
 @query
 def stream_sliding_windows(spark, sf):
     """The events table as a stream: every window its watermark closes."""
