@@ -1,9 +1,11 @@
 """Toxicity scores of deobfuscated text.
 
 1. A character trigram model is counted over every document (a table of at most 36**3 counts).
-2. Words written with look-alike signs, separators, spaced letters or stretched letters are
-   restored: a lattice holds what each sign may stand for, and a Viterbi pass finds the
-   reading that is likeliest under the character model and the noisy channel below.
+2. Words written with look-alike signs, separators, stray spaces or stretched letters are
+   restored: a lattice holds what each sign may stand for, a space in a run of short tokens being
+   a word boundary or nothing, and a Viterbi pass finds the reading that is likeliest under the
+   character model and the noisy channel below. Tokens of any length are decoded; of a sign
+   repeated more than three times three are read, which the channel takes alike.
 3. Restored words are scored by a logistic model over words, word beginnings and character
    n-grams. It is fitted on a bounded sample of the labelled rows outside the held-out fold;
    candidate features are counted over that sample by Spark and the best ones kept.
@@ -11,6 +13,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from math import log
 
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netvitals.llm.words import mix, pieces, powers, spans
+from netvitals.llm.words import mix, pieces, spans, word_hashes
 from netvitals.plans.shared import settle
 
 #: Labelled rows a model is fitted on, at most (about; rows are drawn by a hash of their id).
@@ -36,8 +39,14 @@ LOOKALIKES = {
 }
 SYMBOLS = 36  # word boundary, a-z, nine classes of other bytes
 #: The channel: a letter written as a look-alike, a separator put in, a look-alike put in for no
-#: letter, a letter doubled by mistake, a letter or sign stretched to three and more.
+#: letter, a letter doubled by mistake, a letter or sign stretched to three and more, a space put
+#: into a word.
 LOOKALIKE, INSERTED, SIGN_INSERTED, DOUBLED, STRETCHED = log(0.05), log(0.05), log(1e-6), log(0.002), log(0.3)
+SPACED = log(0.1)
+#: Tokens of so many bytes may be parts of a spaced word; a run of them is decoded as one if two
+#: are no usual words: below this log probability as a word of their own, and as much a letter.
+SHORT = 4
+USUAL, USUAL_LETTER = -4.0, -2.0
 EDGES = ".,;:?!\"'()[]{}%&#*~<>/\\=^`_-"
 
 _SYMBOL = np.zeros(256, np.int64)
@@ -49,7 +58,13 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _TRIM = np.zeros(256, bool)
 _TRIM[[ord(c) for c in EDGES]] = True
-_SEED = np.uint64(0x9E3779B97F4A7C15)
+_TRIM_FRONT = _TRIM.copy()
+_TRIM_FRONT[ord("!")] = False  # before a letter it is one itself
+_SIGN = _LETTER.copy()
+_SIGN[[ord(c) for c in LOOKALIKES]] = True
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+_REPEATED = re.compile(rb"([\x21-\x7f])\1{3,}")
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
@@ -89,7 +104,8 @@ class Restorer:
     """Reads obfuscated words; answers are remembered up to a fixed number of words."""
 
     def __init__(self, model: np.ndarray, remember: int = 200_000):
-        self.model, self.known, self.remember = model.tolist(), {}, remember
+        self.table, self.model, self.known, self.remember = model, model.tolist(), {}, remember
+        self.first = np.log(np.exp(model[1:27, 0]).mean(0))  # the first letter of a word
 
     def __call__(self, token: bytes) -> bytes:
         if token not in self.known:
@@ -112,78 +128,110 @@ class Restorer:
         return [(c.encode(), LOOKALIKE) for c in told] + (drop or [(b"", SIGN_INSERTED)])
 
     def decode(self, token: bytes) -> bytes:
-        """The likeliest word behind a lower-case token; ties go to the first choice."""
-        best = {(0, 0): (0.0, b"")}
-        for i in range(len(token)):
+        """The likeliest reading of a lower-case token, or of tokens with spaces between them;
+        ties go to the first choice. Linear in the token: readings are linked backwards."""
+        token = _REPEATED.sub(rb"\1\1\1", token)
+        best: dict = {(0, 0): (0.0, None)}
+        for i, sign in enumerate(token):
             now: dict = {}
-            for (a, b), (score, word) in best.items():
-                for letter, chance in self.choices(token, i):
+            ways = [(b" ", 0.0), (b"", SPACED)] if sign == 32 else self.choices(token, i)
+            for (a, b), (score, read) in best.items():
+                for letter, chance in ways:
                     if letter:
                         c = int(_SYMBOL[letter[0]])
-                        key, value = (b, c), score + chance + self.model[a][b][c]
+                        key, value, node = (b, c), score + chance + self.model[a][b][c], (read, letter)
                     else:
-                        key, value = (a, b), score + chance
+                        key, value, node = (a, b), score + chance, read
                     if key not in now or value > now[key][0]:
-                        now[key] = (value, word + letter)
+                        now[key] = (value, node)
             best = now
-        return max(best.items(), key=lambda x: x[1][0] + self.model[x[0][0]][x[0][1]][0])[1][1]
-
-
-#: A longer run of signs is no word; it is scored as it stands.
-LONGEST_WORD = 48
+        node = max(best.items(), key=lambda x: x[1][0] + self.model[x[0][0]][x[0][1]][0])[1][1]
+        letters = []
+        while node:
+            node, letter = node
+            letters.append(letter)
+        return b"".join(letters[::-1])
+
+    def usual(self, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether each short token is likely as a word of its own."""
+        a = b = np.zeros(len(start), np.int64)
+        total = np.zeros(len(start))
+        for i in range(SHORT + 1):
+            live = start + i <= end
+            c = np.where(start + i < end, _SYMBOL[low[np.minimum(start + i, len(low) - 1)]], 0)
+            total += np.where(live, self.table[a, b, c] if i else self.first[c], 0)
+            a, b = b, c
+        return total >= USUAL + USUAL_LETTER * (end - start)
+
+
+def _count(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many flags are set in each span."""
+    total = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[end] - total[start]
 
 
 def noisy(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Which tokens have to be decoded: letters with other signs among them, or a letter three
-    times in a row."""
-    n = len(low)
-    letter = np.zeros(n + 1, np.int64)
-    np.cumsum(_LETTER[low], out=letter[1:])
-    thrice = np.zeros(n + 1, np.int64)
-    if n > 2:
-        np.cumsum((low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & (low[2:] < 128), out=thrice[1:-2])
-        thrice[-2:] = thrice[-3]
-    letters = letter[end] - letter[start]
-    stretched = thrice[np.maximum(end - 2, start)] - thrice[start] > 0
-    return (letters > 0) & (end - start <= LONGEST_WORD) & (stretched | (letters < end - start))
+    """Which tokens have to be decoded: letters with other signs among them, a letter three times
+    in a row, or look-alikes alone that are not all digits."""
+    letters = _count(_LETTER[low], start, end)
+    thrice = np.zeros(len(low), bool)
+    if len(low) > 2:
+        thrice[:-2] = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & (low[2:] < 128)
+    stretched = _count(thrice, start, np.maximum(end - 2, start)) > 0
+    size = end - start
+    signs = (size > 1) & (_count(_SIGN[low], start, end) == size) & (_count(_DIGIT[low], start, end) < size)
+    return ((letters > 0) & (stretched | (letters < size))) | signs
 
 
 def trimmed(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spans without punctuation at their edges (an inner sign stays)."""
-    n = len(low)
-    keep = np.flatnonzero(~_TRIM[low])
-    if not len(keep):
+    front, back = np.flatnonzero(~_TRIM_FRONT[low]), np.flatnonzero(~_TRIM[low])
+    if not len(back):
         return start, start.copy()
-    first = keep[np.minimum(np.searchsorted(keep, start), len(keep) - 1)]
-    last = keep[np.maximum(np.searchsorted(keep, end) - 1, 0)] + 1
+    first = front[np.minimum(np.searchsorted(front, start), len(front) - 1)]
+    last = back[np.maximum(np.searchsorted(back, end) - 1, 0)] + 1
     empty = (first < start) | (first >= end) | (last <= first)
     return np.where(empty, start, first), np.where(empty, start, last)
 
 
+def spaced_runs(low: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, restore: Restorer):
+    """(from, to) of the runs of short tokens of one text that may be words with spaces put in."""
+    size = end - start
+    short = (size > 0) & (size <= SHORT) & (_count(_SIGN[low], start, end) == size)
+    at = np.flatnonzero(short)
+    if not len(at):
+        return at, at
+    own, stop = start[at], end[at]
+    odd = ~restore.usual(low, own, stop)
+    lettered = odd & (_count(_LETTER[low], own, stop) > 0)
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) > 1) | (text[at[1:]] != text[at[:-1]])
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(at))
+    runs = (_count(odd, head, tail) > 1) & (_count(lettered, head, tail) > 0)
+    return at[head[runs]], at[tail[runs] - 1] + 1
+
+
 def restored_words(data: np.ndarray, offsets: np.ndarray, restore: Restorer):
     """(bytes, start, end, text number) of the words to score: tokens without punctuation at
-    their edges, decoded where noisy, and the joined word of three or more single letters in a
-    row."""
+    their edges, decoded where noisy, and the words read in runs of short tokens."""
     low = _lower(data)
     start, end, first = spans(low, offsets)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     start, end = trimmed(low, start, end)
     odd = noisy(low, start, end)
+    plain = ~odd & (end > start)
     extra, own = [], []
     raw = low.tobytes()
+    for a, b in zip(*spaced_runs(low, start, end, text, restore)):
+        words = restore(b" ".join(raw[i:j] for i, j in zip(start[a:b], end[a:b]))).split()
+        extra += words
+        own += [text[a]] * len(words)
+        odd[a:b] = plain[a:b] = False
     for i in np.flatnonzero(odd):
         extra.append(restore(raw[start[i] : end[i]]))
         own.append(text[i])
-    single = (end - start == 1) & (_LETTER[low[np.minimum(start, max(len(low) - 1, 0))]] if len(low) else False)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
-    for a, b in zip(edge[::2], edge[1::2]):
-        cuts = np.flatnonzero(np.diff(text[a:b])) + 1  # runs end with their text
-        for run in np.split(np.arange(a, b), cuts):
-            if len(run) >= 3:
-                word = bytes(low[start[run]])
-                extra.append(restore(word) if len(word) <= LONGEST_WORD else word)
-                own.append(text[a if len(run) == b - a else run[0]])
-    plain = ~odd & (end > start)
     added = np.frombuffer(b"".join(extra), np.uint8)
     size = np.array([len(x) for x in extra], np.int64)
     to = len(low) + np.cumsum(size)
@@ -201,14 +249,8 @@ def restored_words(data: np.ndarray, offsets: np.ndarray, restore: Restorer):
 def hashed_features(data, start, end):
     """(distinct words, the word of each place, owner, slot): the slots of each distinct word,
     which are the word itself, its beginnings of 3 to 6 bytes and all its runs of 5 bytes."""
-    n = len(data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_SEED, n), out=total[1:])
-    back = powers(np.uint64(pow(int(_SEED), -1, 2**64)), n + 1)
-
     def hashes(a, b, kind):
-        h = (total[b] - total[a]) * back[a]
-        return mix(h + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(kind << 32))
+        return mix(word_hashes(data, a, b, fold=False) + np.uint64(kind << 32))
 
     whole = hashes(start, end, 1)
     word, at = np.unique(whole, return_index=True)

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -36,7 +37,51 @@ def test_obfuscated_words_are_restored(spark, documents):
     data, offsets = utf8(pa.array(["I D I O T, plain", "x s t u p i d", None, "tr@sh!!"]))
     raw, start, end, text = tox.restored_words(data, offsets, restore)
     found = {(int(t), bytes(raw[a:b]).decode()) for a, b, t in zip(start, end, text)}
-    assert {(0, "idiot"), (0, "plain"), (1, "xstupid"), (3, "trash")} <= found
+    assert {(0, "idiot"), (0, "plain"), (1, "x"), (1, "stupid"), (3, "trash")} <= found
+
+
+SENTENCE = "you are a stupid idiot and a pathetic loser"
+
+
+def test_toxic_text_is_told_however_it_is_written(trained):
+    _, _, model = trained
+    stretched = " ".join(w[0] + w[1] * 60 + w[1:] if len(w) > 1 else w for w in SENTENCE.split())
+    dashes = " ".join(w[0] + "-" * 50 + w[1:] for w in SENTENCE.split())
+    toxic = [
+        SENTENCE, stretched, dashes, "s t u p 1 d i d 1 0 t a n d p a t h e t i c l o s e r", "stu pid id iot path etic lo ser",
+        "id1 0t st up1d lo s3r", "!diot $tup1d l0$er", "s t u p i d  i d i o t",
+    ]
+    scores = model.score(pa.array(toxic))
+    assert (scores >= 0.5).all(), list(zip(toxic, scores))
+    clean = ["of the in to it is at 5 10 20 in a", "", None, "a b c d e f g", "2024 1 5 @$$", "x" * 500, "0 " * 300]
+    assert (model.score(pa.array(clean)) < 0.5).all()
+
+
+def test_spaces_are_read_as_boundaries_or_nothing(spark, documents):
+    words = "idiot stupid loser the dog in of it is to and he".split()
+    texts = [" ".join(random.Random(i).sample(words, len(words))) for i in range(60)]
+    restore = tox.Restorer(tox.character_model(documents(*enumerate(texts))))
+    for seen, meant in {
+        "s t u p i d": "stupid", "stu pid id iot": "stupid idiot", "1 d 1 0 t": "idiot", "in the dog": "in the dog",
+        "he is s t u p 1 d": "he is stupid", "lo ser of it": "loser of it",
+    }.items():
+        assert restore(seen.encode()) == meant.encode()
+    data, offsets = utf8(pa.array(["the dog of 5 10", "s t u p i d", "stu", "pid", "in s.t.u.p.i.d the"]))
+    raw, start, end, text = tox.restored_words(data, offsets, restore)
+    found = [(int(t), bytes(raw[a:b]).decode()) for a, b, t in zip(start, end, text)]
+    assert sorted(found) == [
+        (0, "10"), (0, "5"), (0, "dog"), (0, "of"), (0, "the"), (1, "stupid"), (2, "stu"), (3, "pid"),
+        (4, "in"), (4, "stupid"), (4, "the"),
+    ]
+
+
+def test_long_tokens_are_decoded_in_linear_time(trained):
+    import time
+
+    restore = tox.Restorer(trained[2].characters)
+    start = time.perf_counter()
+    assert len(restore(b"1d10t-" * 20_000)) > 20_000
+    assert time.perf_counter() - start < 20
 
 
 def test_viterbi_is_the_best_of_all_readings(spark, documents):
