@@ -3,7 +3,8 @@
 log P(lang | evidence) = text + declared + address + prior, up to a constant:
 
 * text: byte trigrams under one smoothed model per language, counted over every labelled text;
-  the sum is tempered to ``text_weight`` trigrams, as those of a long text are not independent;
+  the sum is tempered to ``text_weight`` trigrams, as those of a long text are not independent.
+  A labelled text's own trigrams are left out of its language's counts when it is told itself;
 * declared: the language a page's markup declares, right with probability ``declared_right``;
 * address: a language code as the first part of the path, right with ``address_right``;
 * prior: how often the host's rows read as each language. Rows are counted by their likeliest
@@ -15,6 +16,7 @@ log P(lang | evidence) = text + declared + address + prior, up to a constant:
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,10 @@ _LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
-_MARKUP = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]{1,10};", re.S | re.I)
-_DECLARED = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.I)
+_CLOSER = re.compile(rb"</(script|style)\s*>", re.I)
+_OPENER = re.compile(rb"<(script|style)\b", re.I)
+_REFERENCE = re.compile(rb"&[#\w]{1,10};")
+_DECLARED = re.compile(rb"<html\b[^<>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.I)
 LEVELS = ("host", "domain", "suffix")
 
 
@@ -76,12 +80,15 @@ class LanguageModel:
     """Log probabilities of trigram slots by language: languages x 65,536 numbers."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
-        self.languages = languages
+        self.languages, self.counts = languages, counts
         smooth = counts + 0.5
         self.table = np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
 
-    def likelihoods(self, data: np.ndarray, offsets: np.ndarray, weight: float) -> np.ndarray:
-        """log P(text | lang) for each text, tempered to ``weight`` trigrams; 0 without letters."""
+    def likelihoods(
+        self, data: np.ndarray, offsets: np.ndarray, weight: float, labels: list[str | None] | None = None
+    ) -> np.ndarray:
+        """log P(text | lang) for each text, tempered to ``weight`` trigrams; 0 without letters.
+        A text with a label is judged by counts of that language that leave it out."""
         slot = _trigrams(data)
         blank = _trigrams(np.full(3, 32, np.uint8))[0]
         out = np.zeros((len(offsets) - 1, len(self.languages)))
@@ -96,19 +103,27 @@ class LanguageModel:
             worth = np.where(slot == blank, 0.0, self.table[k][slot])
             total = np.concatenate([[0.0], np.cumsum(worth, dtype=np.float64)])
             out[:, k] = (total[last] - total[start]) * share
+        number = {x: i for i, x in enumerate(self.languages)}
+        all_counts = self.counts.sum(1)
+        for i, label in enumerate(labels or ()):
+            k = number.get(label)
+            if k is not None and n[i]:
+                own, times = np.unique(slot[start[i] : last[i]], return_counts=True)
+                rest = np.maximum(self.counts[k][own] - times, 0) + 0.5
+                whole = max(all_counts[k] - times.sum(), 0) + 0.5 * SLOTS
+                worth = times * np.log(rest / whole)
+                out[i, k] = worth[own != blank].sum() * share[i]
         return out
 
 
 def train_languages(labelled: DataFrame) -> LanguageModel:
-    """A model of (text, lang): every row with a language counts, its text whole. Raises
-    ValueError without labelled rows."""
+    """A model of (text, lang): every row with a language counts, its text whole. Without
+    labelled rows it knows no language."""
     rows = labelled.filter("lang IS NOT NULL").select("lang", "text")
     counts = rows.mapInArrow(_counter, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     seen = counts.toArrow()  # languages x slots at most
     names = seen["lang"].to_pylist()
     languages = sorted(set(names))
-    if not languages:
-        raise ValueError("no labelled rows to learn languages from")
     table = np.zeros((len(languages), SLOTS))
     number = {x: i for i, x in enumerate(languages)}
     table[[number[x] for x in names], seen["slot"].to_numpy()] = seen["n"].to_numpy()
@@ -116,14 +131,40 @@ def train_languages(labelled: DataFrame) -> LanguageModel:
 
 
 def visible(html: bytes) -> bytes:
-    """A page's text: no scripts, styles, comments, tags or character references."""
-    return _MARKUP.sub(b" ", html)
-
-
-def text_evidence(rows: DataFrame, model: LanguageModel, weight: float, markup: bool) -> DataFrame:
+    """A page's text: no scripts, styles, comments, tags or character references. One pass: a
+    script, style or comment that is never closed is an ordinary tag, a tag that is never closed
+    is text."""
+    ends: dict[bytes, list[tuple[int, int]]] = {b"script": [], b"style": []}
+    for m in _CLOSER.finditer(html):
+        ends[m[1].lower()].append(m.span())
+    out, at, comments = [], 0, True
+    while (i := html.find(b"<", at)) >= 0:
+        stop = -1
+        if html.startswith(b"<!--", i) and comments:
+            stop = html.find(b"-->", i + 4) + 3
+            comments = stop > 2
+            stop = stop if comments else -1
+        elif opener := _OPENER.match(html, i):
+            closers = ends[opener[1].lower()]
+            k = bisect_left(closers, (i,))
+            stop = closers[k][1] if k < len(closers) else -1
+        if stop < 0:
+            stop = html.find(b">", i) + 1
+            if not stop:
+                break
+        out.append(html[at:i])
+        at = stop
+    out.append(html[at:])
+    return _REFERENCE.sub(b" ", b" ".join(out))
+
+
+def text_evidence(
+    rows: DataFrame, model: LanguageModel, weight: float, markup: bool, label: str | None = None
+) -> DataFrame:
     """``rows`` with ``text_ll array<double>`` and ``declared`` in the place of ``text``; of
-    pages (``markup``), the declared language is read from the markup."""
-    names = [c for c in rows.columns if c not in ("text", "declared", "text_ll")]
+    pages (``markup``), the declared language is read from the markup. ``label`` is a column with
+    the language under which the model has counted a row's text; it is dropped."""
+    names = [c for c in rows.columns if c not in ("text", "declared", "text_ll", label)]
     shape = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema])
     shape += ", text_ll array<double>, declared string"
     width = len(model.languages)
@@ -140,7 +181,8 @@ def text_evidence(rows: DataFrame, model: LanguageModel, weight: float, markup:
                     shown = [visible(p) for p in pages]
                     data = np.frombuffer(b"".join(shown), np.uint8)
                     offsets = np.concatenate([[0], np.cumsum([len(p) for p in shown])])
-                ll = model.likelihoods(data, offsets, weight)
+                labels = batch.column(len(names) + 1).slice(lo, hi - lo).to_pylist() if label else None
+                ll = model.likelihoods(data, offsets, weight, labels)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(hi - lo + 1, dtype=np.int32) * width), pa.array(ll.ravel())
                 )
@@ -149,7 +191,7 @@ def text_evidence(rows: DataFrame, model: LanguageModel, weight: float, markup:
                     [*own, lists, pa.array(said, pa.string())], names=[*names, "text_ll", "declared"]
                 )
 
-    return rows.select(*names, "text").mapInArrow(run, shape)
+    return rows.select(*names, "text", *([label] if label else [])).mapInArrow(run, shape)
 
 
 def with_address(rows: DataFrame, url: Column) -> DataFrame:
@@ -258,14 +300,26 @@ def identify_corpus(
 
     Pages give all kinds of evidence; documents have no markup or address, and their source
     stands for the host. Models are trained on the languages of ``documents``, so for
-    documents only text and source speak, never their own label. Null texts and addresses are
-    absent evidence; null ids are carried along; other columns are not read.
+    documents only text and source speak, and each is judged by counts without itself. Null texts
+    and addresses are absent evidence; null ids are carried along; without any labelled document
+    languages and probabilities are null; no rows give no rows; other columns are not read.
     """
     model = train_languages(documents)
+    if not model.languages:
+        ids = pages.select("page_id", F.lit(None).cast("long").alias("doc_id")).unionByName(
+            documents.select(F.lit(None).cast("long").alias("page_id"), "doc_id")
+        )
+        nothing = F.lit(None)
+        return ids.select(
+            "*",
+            nothing.cast("string").alias("lang"),
+            nothing.cast("double").alias("probability"),
+            nothing.cast("string").alias("text_lang"),
+        )
     named = pages.select("page_id", F.lit(None).cast("long").alias("doc_id"), "url", F.col("html").alias("text"))
     read = with_address(text_evidence(named, model, text_weight, True), F.col("url")).drop("url")
-    plain = documents.select(F.lit(None).cast("long").alias("page_id"), "doc_id", "source", "text")
-    other = text_evidence(plain, model, text_weight, False).select(
+    plain = documents.select(F.lit(None).cast("long").alias("page_id"), "doc_id", "source", "text", "lang")
+    other = text_evidence(plain, model, text_weight, False, "lang").select(
         "page_id",
         "doc_id",
         "text_ll",

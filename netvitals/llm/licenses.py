@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netvitals.llm.words import mix, pieces, powers, shingle_hashes
+from netvitals.llm.words import mix, pieces, shingle_hashes, word_hashes
 
 #: Widely used license notices, as their licenses give them.
 TEMPLATES = {
@@ -64,10 +64,6 @@ MISS = 1e-6
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
 _WORD[128:] = True
-_VALUE = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.uint64)
-_VALUE[65:91] = _VALUE[97:123]
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
 def license_words(data: np.ndarray, offsets: np.ndarray):
@@ -83,11 +79,7 @@ def license_words(data: np.ndarray, offsets: np.ndarray):
 
 def _shingles(data, offsets, size):
     start, end, first = license_words(data, offsets)
-    n = len(data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[data] * powers(_BASE, n), out=total[1:])
-    own = (total[end] - total[start]) * powers(_INVERSE, n + 1)[start]
-    hashes, begin = shingle_hashes(mix(own + (end - start).astype(np.uint64)), first, size)
+    hashes, begin = shingle_hashes(word_hashes(data, start, end), first, size)
     return start, end, first, hashes, begin
 
 

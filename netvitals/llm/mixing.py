@@ -1,6 +1,6 @@
 """Mixing sources to target weights with exact budgets, in DataFrame operations only.
 
-Every row gets a hash-random key from its id. Keys are cut into equal ranges per source, so
+Every row gets a hash-random key from its id and text. Keys are cut into equal ranges per source, so
 that a range holds a bounded number of rows however large its source is; rows are sorted
 within a range, sums of ranges give each range its start, and a row's place in its source is
 the start of its range plus the words before it. A source's budget is cut at exactly that
@@ -24,9 +24,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def random_key(doc_id: Column, seed: str) -> Column:
-    """Hex digits that order rows at random, the same in every run."""
-    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(f":{seed}")))
+def random_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """Hex digits that order rows at random, the same in every run; rows without an id and rows
+    that repeat one are spread by their texts."""
+    name = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    return F.md5(F.concat(name, F.lit(f":{seed}:"), F.coalesce(text, F.lit(""))))
 
 
 def source_targets(
@@ -83,12 +85,16 @@ def mix(
     source and once more if it lies before the cut. The row at the cut gives the part that
     is left, so a source's taken words are its target rounded down. Defined cases: a null or
     empty text has size 0 and is taken 0 times; a null source is a source of its own, last
-    in order; null ids and rows that repeat an id are ordinary rows, those with equal keys
-    ordered by size (rows equal in id and size are interchangeable); no rows give no rows;
-    further columns are not read.
+    in order; null ids and rows that repeat an id are ordinary rows (rows equal in id and text
+    are interchangeable); no rows give no rows; further columns are not read.
     """
-    size = word_count(F.col("text"))
-    rows = docs.select("doc_id", "source", size.alias("size"), random_key(F.col("doc_id"), seed).alias("_key"))
+    return _decisions(docs, weights, share, epochs, seed, rows_per_range).drop("_key")
+
+
+def _decisions(docs, weights=WEIGHTS, share=1.5, epochs=2.0, seed="mix", rows_per_range=ROWS_PER_RANGE) -> DataFrame:
+    """The rows of `mix` with their keys."""
+    key = random_key(F.col("doc_id"), F.col("text"), seed)
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"))
     rows = settle(rows, "mix_sizes")
     totals = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows")
@@ -134,26 +140,39 @@ def mix(
         "source_size",
         "target",
         (passes * F.col("size") + part).cast("long").alias("taken"),
+        "_key",
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: one copy for each full pass and, for the
     row at a source's cut, one more with the words that are left of its budget.
 
     Takes the options of `mix`; rows of no words are not taken. ``n_chars``, if there, is set
-    to the length of a text that is cut. Rows that repeat an id with texts of equal size share one
-    decision, the larger.
+    to the length of a text that is cut. Rows equal in source, id and text take the words that
+    `mix` gives them together: alike where it takes all or none of them once more, and one after
+    the other where a source's cut lies among them.
     """
-    taken = mix(docs, **options).filter("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("taken"))
-    taken = taken.select(F.col("doc_id").alias("id"), F.col("size").alias("words"), "taken")
+    decided = _decisions(docs, seed=seed, **options).groupBy(F.col("_key").alias("key"), F.col("source").alias("of"))
+    decided = decided.agg(
+        F.sum("taken").alias("all"), F.count(F.lit(1)).alias("n"), F.max("size").alias("size")
+    ).filter(F.col("all") > 0)
     # The row travels as one value, so that its columns clash with nothing here.
     packed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        F.col("doc_id").alias("row_id"),
-        word_count(F.col("text")).alias("size"),
+        F.col("source").alias("row_source"),
+        random_key(F.col("doc_id"), F.col("text"), seed).alias("row_key"),
     )
-    met = packed.join(taken, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("size") == F.col("words")))
+    met = packed.join(decided, (F.col("row_key") == F.col("key")) & F.col("row_source").eqNullSafe(F.col("of")))
+    alike = F.col("all") % (F.col("n") * F.col("size")) == 0
+    even = met.filter(alike).withColumn("taken", F.expr("all div n"))
+    # the rows at the cut: one group of equal rows of each source at most
+    place = F.row_number().over(Window.partitionBy("key", "of").orderBy("key")) - 1
+    each = F.expr("all div (n * size)") * F.col("size")
+    rest = F.col("all") - each * F.col("n") - F.col("place") * F.col("size")
+    cut = met.filter(~alike).withColumn("place", place)
+    cut = cut.withColumn("taken", each + F.greatest(F.lit(0), F.least(F.col("size"), rest))).drop("place")
+    met = even.unionByName(cut).filter("taken > 0")
     copies = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))
     rows = met.withColumn("copy", F.explode(copies))
     left = F.col("taken") - (F.col("copy") - 1) * F.col("size")

@@ -91,7 +91,7 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_i
 
 OP10 = r"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, 'null') || ':mix') AS k,
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, 'null') || ':mix:' || coalesce(text, '')) AS k,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
   FROM documents
 ), totals AS (

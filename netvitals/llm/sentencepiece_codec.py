@@ -15,14 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from netvitals.llm.words import mix, pieces, powers
+from netvitals.llm.words import pieces, word_hashes
 
 MARKER = "▁".encode()
 #: A character of bytes scores this much below the worst piece.
 BYTE_PENALTY = 10.0
 #: Longer words are segmented one by one.
 LONG_WORD = 64
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -258,11 +257,9 @@ def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[
     head[offsets[:-1][np.diff(offsets) > 0]] = True
     start = np.flatnonzero(head)
     size = np.diff(np.append(start, n))
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_MULTIPLIER, n), out=total[1:])
-    back = powers(np.uint64(pow(int(_MULTIPLIER), -1, 2**64)), n)
-    own = mix((total[start + size] - total[start]) * back[start] + size.astype(np.uint64))
+    own = word_hashes(data, start, start + size, fold=False)
     _, at, same = np.unique(own, return_index=True, return_inverse=True)
+    at, same = _apart(data, start, size, at, same)
     ids, count = segment(v, data, start[at], size[at])
     begin = np.cumsum(count) - count
     out = ids[_ragged(begin[same], count[same])]
@@ -271,6 +268,22 @@ def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[
     return out, np.diff(each[words])
 
 
+def _apart(data, start, size, at, same):
+    """(at, same) with words taken out that are not those of their hash. A hash of up to eight
+    bytes is one word's alone, save among words of different lengths."""
+    wrong = size != size[at[same]]
+    long = np.flatnonzero((size > 8) & ~wrong)
+    mine, other = data[_ragged(start[long], size[long])], data[_ragged(start[at[same[long]]], size[long])]
+    differs = np.repeat(long, size[long])[mine != other]
+    wrong[differs] = True
+    alone = np.flatnonzero(wrong)
+    if len(alone):
+        same = same.copy()
+        same[alone] = len(at) + np.arange(len(alone))
+        at = np.concatenate([at, alone])
+    return at, same
+
+
 def decode_ids(v: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of the texts behind the ids: piece texts joined, markers as spaces,
     without the space that was put before the text."""

@@ -33,14 +33,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-        np.cumprod(out, out=out)
-    return out
-
-
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

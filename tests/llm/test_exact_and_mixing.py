@@ -113,3 +113,27 @@ def test_mixed_documents_repeat_and_cut(documents, prose):
         assert r.n_chars == (121 if r.text == whole[r.doc_id] else len(r.text)) and r.row == "clash"
     assert dict(count) == {i: n for i, n in plan.items() if n}
     assert mixed_documents(docs.limit(0)).count() == 0 and mix(docs.limit(0)).count() == 0
+
+
+def test_mixed_documents_meet_their_budget_whatever_the_ids(spark):
+    """Rows without an id, repeated ids and wholly equal rows: as many words as the targets say."""
+    rows = [(None, f"w{i % 7} " * (3 + i % 4), "a") for i in range(300)] + [(5, "x y z", "a")] * 40
+    rows += [(i % 9, "same text here and there", "b") for i in range(90)] + [(None, None, None), (1, "one", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r.source: (r.target, r.taken) for r in mix(docs).groupBy("source").agg(
+        F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()}
+    got = {r.source: r.words for r in mixed_documents(docs).groupBy("source").agg(
+        F.sum(F.size(F.split(F.trim("text"), " +"))).alias("words")).collect()}
+    for source, (target, taken) in want.items():
+        assert taken == int(target) == got.get(source, 0)
+    # the same key for each row in every run, and rows without an id in many ranges
+    assert sorted(map(tuple, mix(docs).collect()), key=repr) == sorted(map(tuple, mix(docs).collect()), key=repr)
+
+
+def test_rows_without_id_are_spread_over_ranges(spark):
+    from netvitals.llm.mixing import random_key
+
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    spots = rows.select(F.substring(random_key(F.col("doc_id"), F.col("text"), "mix"), 1, 1).alias("s"))
+    counts = [r["count"] for r in spots.groupBy("s").count().collect()]
+    assert len(counts) == 16 and max(counts) < 400

@@ -241,5 +241,97 @@ def test_evidence_decides_where_text_is_silent(spark, documents):
     assert (lang[1], lang[2], lang[4], lang[5], lang[7]) == ("de", "en", "de", "de", "en")
     assert got[(5, None)].text_lang is None and lang[3] in ("de", "en")
     assert visible(b"<style>a</style>x<!-- y -->&amp;z<br/>").split() == [b"x", b"z"]
-    with pytest.raises(ValueError):
-        train_languages(docs.limit(0))
+
+
+def test_no_labels_and_no_rows_are_defined(spark, documents):
+    pages = spark.createDataFrame([(1, "http://a.org/", "<p>x")], "page_id long, url string, html string")
+    docs = documents((1, "some text", None, "a"), (2, None))
+    found = identify_corpus(pages, docs)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [(1, None, None, None, None), (None, 1, None, None, None), (None, 2, None, None, None)], key=repr
+    )
+    assert found.columns == identify_corpus(pages, documents((1, "a b c", "en", "s"))).columns
+    assert identify_corpus(pages.limit(0), documents()).count() == 0
+    assert train_languages(documents()).languages == []
+
+
+def test_markup_is_removed_in_linear_time():
+    import time
+
+    slow = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]{1,10};", re.S | re.I)
+    rng = random.Random(4)
+    parts = [b"<", b">", b"<script>", b"</script >", b"<STYLE a", b"</style>", b"<!--", b"-->", b"a", b"&amp;", b" ", b"<b c='d'>", b"</script"]
+    for _ in range(800):
+        html = b"".join(rng.choices(parts, k=rng.randrange(14)))
+        assert visible(html) == slow.sub(b" ", html), html
+    for part in (b"<", b"<script", b"<!--", b"<style>", b"&a", b"</script ", b"<html lang", b"<a ", b"<!-->"):
+        start = time.perf_counter()
+        visible(part * (1_000_000 // len(part)))
+        identify_declared(part * (1_000_000 // len(part)))
+        assert time.perf_counter() - start < 2, part
+
+
+def identify_declared(html):
+    from netvitals.llm.language_id import _DECLARED
+
+    return _DECLARED.search(html)
+
+
+def test_a_document_is_told_without_its_own_counts(spark, documents):
+    """Leaving a text out of its label's counts equals training without it."""
+    from netvitals.llm.language_id import text_evidence
+
+    rows = [(i, f"the of and {i} street", "en") for i in range(6)] + [(i, f"der die das {i} und", "de") for i in range(6, 12)]
+    rows += [(12, "der die das", "en"), (13, "no label here", None), (14, "", "en"), (15, None, "de"), (16, "le la les", "fr")]
+    docs = documents(*rows)
+    model = train_languages(docs)
+    got = {r.doc_id: r.text_ll for r in text_evidence(docs.select("doc_id", "text", "lang"), model, 50.0, False, "lang").collect()}
+    for doc_id, text, lang in rows:
+        counts = model.counts.copy()
+        if lang:
+            from netvitals.llm.language_id import LanguageModel, _trigrams
+
+            own = np.bincount(_trigrams(np.frombuffer((text or "").encode(), np.uint8)), minlength=counts.shape[1])
+            counts[model.languages.index(lang)] -= own
+            data = np.frombuffer((text or "").encode(), np.uint8)
+            want = LanguageModel(model.languages, counts).likelihoods(data, np.array([0, len(data)]), 50.0)[0]
+            assert np.allclose(got[doc_id], want, rtol=1e-4)
+    assert got[12][model.languages.index("de")] > got[12][model.languages.index("en")]
+
+
+def test_fusion_equals_the_formula(spark):
+    """Priors of three levels without the row's own count, evidence and normalisation, by hand."""
+    from math import exp, log
+
+    from netvitals.llm.language_id import identify
+
+    rng = random.Random(6)
+    languages = ["de", "en", "fr"]
+    rows = []
+    for i in range(120):
+        host = rng.choice([None, "a.x.org", "b.x.org", "y.org", "z.com"])
+        domain = host and ".".join(host.split(".")[-2:])
+        ll = [0.0] * 3 if i % 9 == 0 else [round(-rng.random() * 20, 3) for _ in range(3)]
+        said, code = (rng.choice([None, "de", "en", "fr", "xx"]) for _ in range(2))
+        rows.append((i, ll, said, code, host, domain, host and host.split(".")[-1]))
+    frame = spark.createDataFrame(
+        rows, "id int, text_ll array<double>, declared string, path_code string, host string, domain string, suffix string"
+    )
+    told = [None if max(r[1]) == min(r[1]) else r[1].index(max(r[1])) for r in rows]
+    for r in identify(frame, languages).collect():
+        i, ll, said, code, *place = rows[r.id]
+        scores = []
+        for k in range(3):
+            p = 1 / 3
+            for depth in (None, 2, 1, 0):
+                own = [t for j, t in enumerate(told) if j != i and (depth is None or rows[j][4 + depth:] == tuple(place[depth:]))]
+                n = sum(t is not None for t in own)
+                p = (sum(t == k for t in own) + 10 * p) / (n + 10)
+            s = ll[k] + log(p)
+            for x in (said, code):
+                if x in languages:
+                    s += log(0.9 if x == languages[k] else 0.05)
+            scores.append(s)
+        best = max(range(3), key=lambda k: (round(scores[k], 12), -k))
+        assert r.lang == languages[best]
+        assert r.probability == pytest.approx(1 / sum(exp(s - max(scores)) for s in scores))
