@@ -14,6 +14,7 @@ ones. Distinct counts of regions over any hours come from theta sketches, exact
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from netvitals.functions.rounding import shown
 from netvitals.operators import history
 from netvitals.operators.alerts import last_episodes
 from netvitals.operators.episodes import episode_pieces, joined_episodes
+from netvitals.operators.speed import SLIDE_S, WINDOW_S, sliding_windows
 from netvitals.plans import snapshots
 from netvitals.plans.archive import read_archive
 from netvitals.plans.shared import discard, settle, together
@@ -101,6 +103,54 @@ def stored_episodes(spark: SparkSession, root: str) -> DataFrame:
     return joined_episodes(rows.filter("good IS NULL"), rows.filter("good IS NOT NULL"))
 
 
+WINDOWS_DDL = """window_start TIMESTAMP, window_end TIMESTAMP, region_id STRING, sample_count BIGINT,
+    avg_health_score DOUBLE, avg_latency_ms DOUBLE, avg_packet_loss DOUBLE, outage_count BIGINT,
+    is_outage BOOLEAN"""
+
+
+def _shifted(hours: list[str], by: int) -> set[str]:
+    moved = (dt.datetime.strptime(h, "%Y%m%d_%H") + dt.timedelta(hours=by) for h in hours if h[:1].isdigit())
+    return {m.strftime("%Y%m%d_%H") for m in moved}
+
+
+def repair_windows(
+    spark: SparkSession, archive: str, root: str, width_s: int = WINDOW_S, slide_s: int = SLIDE_S
+) -> list[str]:
+    """Brings the table of sliding windows up to the archive; returns the hours of window starts
+    that were made anew. A stream's windows lack the records that came after its watermark; here
+    an hour's windows are redone from the archive whenever one of its records, or of the hour
+    after it, has changed."""
+    source = snapshots.newest(spark, archive)
+    have, hours = changed_hours(spark, source, f"{root}/tables/windows")
+    if have.marks.get(SOURCE, -1) == source.version:
+        return []
+    before = -(-width_s // 3600)  # hours that a record's windows may begin before it
+    targets = set().union(*(_shifted(hours, -k) for k in range(before + 1)))
+    read = set().union(*(_shifted(list(targets), k) for k in range(before + 1))) & set(source.hours)
+    # windows go with the hour they begin in; those before the first record's hour stay with it
+    first = min((h for h in source.hours if h[:1].isdigit()), default="")
+    gone = [h for h in have.hours if h not in targets and h < first and h not in _shifted([first], -before)]
+    records = dedup_events(read_archive(spark, archive, sorted(read), source))
+    windows = sliding_windows(records, width_s, slide_s).withColumn("hour", hour_of(F.col("window_start")))
+    windows = windows.filter(F.col("hour").isin(sorted(targets))).hint("rebalance", "hour")
+    replaced = [*sorted(targets), *gone]
+    snapshots.replace(windows, f"{root}/tables/windows", have, replaced, marks={SOURCE: source.version})
+    return sorted(targets)
+
+
+def stored_windows(spark: SparkSession, root: str) -> DataFrame:
+    return snapshots.read(spark, f"{root}/tables/windows", WINDOWS_DDL).drop("hour")
+
+
+def late_records(streamed: DataFrame, repaired: DataFrame) -> DataFrame:
+    """Per region and window what a stream's windows lack: the number of late records."""
+    keys = ["window_start", "region_id"]
+    seen = streamed.select(*keys, F.col("sample_count").alias("in_stream"))
+    both = repaired.select(*keys, "sample_count").join(seen, keys, "left")
+    missing = F.col("sample_count") - F.coalesce("in_stream", F.lit(0))
+    return both.select(*keys, missing.alias("late")).filter("late > 0")
+
+
 def latency_range(cube: DataFrame) -> DataFrame:
     """Latency statistics per region over a cube of any hours, quantiles from its sketches."""
     merged = cube.groupBy(*REGION_COLUMNS).agg(*merge_sums(), F.kll_merge_agg_double("rtt_sketch").alias("sketch"))
@@ -196,6 +246,7 @@ def run_incremental(spark: SparkSession, archive: str, root: str, fmt: str = "pa
     made = views(cube, stored_episodes(spark, root))
     together(spark, *[partial(write, name, view) for name, view in made.items()])
     discard(cube)
-    for table in ("cube", "pieces"):
+    repair_windows(spark, archive, root)
+    for table in ("cube", "pieces", "windows"):
         snapshots.vacuum(spark, f"{root}/tables/{table}")
     return done

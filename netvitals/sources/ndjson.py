@@ -20,22 +20,32 @@ def with_time(rows: DataFrame) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(probe rows, rejected lines) of text lines, streaming or not.
-
-    Blank lines vanish. A field of the wrong type is null in an otherwise kept row; only a
-    line that is no JSON object is a reject. Lines are parsed once, under the whole schema and
-    by an expression rather than by the JSON reader, whose verdict on a line depends on which
-    columns a query selects.
-    """
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """(value, p, ok): text lines that are not blank, parsed once under the whole schema; ``ok``
+    tells those that are JSON objects. By an expression rather than by the JSON reader, whose
+    verdict on a line depends on which columns a query selects."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json("value", f"{PROBE_DDL}, {CORRUPT} STRING", options)
     # a generator's result is kept, so that the filter and the columns share one parse
     rows = lines.filter(F.trim("value") != "").select("value", F.explode(F.array(parsed)).alias("p"))
     doubtful = F.col("p").isNull() | F.col(f"p.{CORRUPT}").isNotNull()
     ok = F.when(doubtful, F.json_object_keys("value").isNotNull()).otherwise(True)
-    good = rows.filter(ok).select(*[F.col(f"p.{c}") for c in PROBE_COLUMNS])
-    return with_time(good), rows.filter(~ok).select(F.col("value").alias("line"))
+    return rows.withColumn("ok", ok)
+
+
+def split_parsed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(probe rows, rejected lines) of `parsed_lines`."""
+    good = rows.filter("ok").select(*[F.col(f"p.{c}") for c in PROBE_COLUMNS])
+    return with_time(good), rows.filter("NOT ok").select(F.col("value").alias("line"))
+
+
+def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(probe rows, rejected lines) of text lines, streaming or not.
+
+    Blank lines vanish. A field of the wrong type is null in an otherwise kept row; only a
+    line that is no JSON object is a reject.
+    """
+    return split_parsed(parsed_lines(lines))
 
 
 def lenient_ndjson(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:

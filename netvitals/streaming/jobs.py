@@ -28,6 +28,8 @@ from netvitals.sources.ndjson import parse_lines
 from netvitals.sources.views import empty
 
 EVERY = "60 seconds"
+#: Versions of the per-batch aggregates that stay: a day of minutes.
+AGGREGATES_KEPT = 1440
 #: How far a record's stamp may lie ahead of the trigger's clock.
 CLOCK_SLACK_S = 60
 VIEWS = {
@@ -164,6 +166,7 @@ def apply_batch(
             write_version(rows, paths["live_events"], batch_id)
 
         together(spark, window_views, batch_view, state_view, feed_view)
+        forget_batches(spark, root, as_of - window_s - 3600, batch_id)
     finally:
         whole.unpersist()
 
@@ -182,6 +185,23 @@ def append_batch(batch: DataFrame, root: str, batch_id: int) -> None:
     )
 
 
+def forget_batches(spark: SparkSession, root: str, before: int, batch_id: int) -> None:
+    """Removes raw copies of hours that no window will read again (all records are in the archive)
+    and batch aggregates older than the last day's. Only folder names are listed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    limit = dt.datetime.fromtimestamp(before, dt.timezone.utc).strftime("%Y%m%d_%H")
+    oldest = batch_id - AGGREGATES_KEPT
+    for pattern, prefix, gone in (
+        (f"{root}/raw_batches/hour=*", "hour=", lambda name: name[:1].isdigit() and name < limit),
+        (f"{root}/speed/batch_aggregates/batch=*", "batch=", lambda name: int(name) <= oldest),
+    ):
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        files = path.getFileSystem(conf)
+        for status in files.globStatus(path) or []:
+            if gone(status.getPath().getName().removeprefix(prefix)):
+                files.delete(status.getPath(), True)
+
+
 def recent_batches(spark: SparkSession, root: str, as_of: int, seconds: int) -> DataFrame:
     """Raw copies of the hours that [as_of - seconds, as_of] touches. Only those folders are
     listed, so the cost does not grow with the age of the table."""

@@ -195,6 +195,24 @@ episodes AS (
          count(*) AS records
   FROM runs WHERE outage_detected GROUP BY region_id, country_code, country_name, run)"""
 
+SESSIONS = """
+gapped AS (
+  SELECT *, ts + CASE WHEN state = 'critical' THEN INTERVAL 6 HOUR ELSE INTERVAL 3 HOUR END AS until
+  FROM probes WHERE outage_detected),
+begun AS (
+  SELECT *, CASE WHEN ts <= max(until) OVER (PARTITION BY region_id ORDER BY ts, event_id
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 THEN 0 ELSE 1 END AS first
+  FROM gapped),
+numbered AS (
+  SELECT *, sum(first) OVER (PARTITION BY region_id ORDER BY ts, event_id) AS session FROM begun),
+sessions AS (
+  SELECT region_id, min(ts) AS start_ts, max(ts) AS end_ts, max(until) AS closed_at,
+         (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(1e6 AS DOUBLE) AS duration_s,
+         count(*) AS records, max(packet_loss_pct) AS worst_loss_pct
+  FROM numbered GROUP BY region_id, session)"""
+SESSION_DOUBLES = ("duration_s", "worst_loss_pct")
+
 ALERTS = """
 raised AS (
   SELECT 'alert-' || CAST(row_number() OVER (ORDER BY rank) AS VARCHAR) AS id,
@@ -676,6 +694,26 @@ ORACLES: dict[str, str] = {
                (SELECT count(*) FROM (FROM first UNION FROM second)) AS in_either,
                (SELECT count(*) FROM (FROM first INTERSECT FROM second)) AS in_both"""
     ),
+    "windows_repaired": sql(f"{SLIDING} --- SELECT * FROM windows", *WINDOW_DOUBLES),
+    "outage_sessions": sql(f"{SESSIONS} --- SELECT * EXCLUDE (closed_at) FROM sessions", *SESSION_DOUBLES),
+    "stream_outage_sessions": sql(
+        f"""{SESSIONS} --- SELECT * EXCLUDE (closed_at) FROM sessions
+        WHERE closed_at + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM ev)""",
+        *SESSION_DOUBLES,
+    ),
+    "stream_alert_windows": sql(
+        f"""hours AS (
+          SELECT region_id, {HOUR.format('ts')} AS window_start, count(*) AS sample_count,
+                 avg(health_score) AS avg_health_score, count(*) FILTER (outage_detected) AS outage_count,
+                 count(*) FILTER (outage_detected) > count(*) * CAST(0.3 AS DOUBLE) AS is_outage
+          FROM probes GROUP BY 1, 2) ---
+        SELECT event_id, p.region_id, ts AS alert_ts, avg_rtt_ms, packet_loss_pct, window_start,
+               window_start + INTERVAL 1 HOUR AS window_end, sample_count, h.avg_health_score, outage_count, is_outage
+        FROM probes p LEFT JOIN hours h
+          ON p.region_id = h.region_id AND {HOUR.format('ts')} = window_start AND is_outage, clock
+        WHERE state = 'critical' AND unix_ts < as_of - 10800""",
+        "avg_rtt_ms", "packet_loss_pct", "avg_health_score",
+    ),
     # the watermark is ten minutes behind the newest event
     "stream_sliding_windows": sql(
         f"""{SLIDING} ---
@@ -686,3 +724,4 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["stream_outage_alerts"] = ORACLES["outage_alert_stream"]
 ORACLES["stream_live_state"] = ORACLES["state_upsert_ttl"]
+ORACLES["stream_state_log"] = ORACLES["state_upsert_ttl"]

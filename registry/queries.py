@@ -28,7 +28,7 @@ from netvitals.plans import archive, compact, incremental, serve, snapshots, sql
 from netvitals.plans.shared import fresh_path, settle
 from netvitals.sources import driver_tables as tables
 from netvitals.sources import ndjson, normalize
-from netvitals.streaming import jobs
+from netvitals.streaming import jobs, stateful
 
 WEEK_S = 7 * 86_400
 MERGE_WINDOW_S = 7_200
@@ -615,3 +615,55 @@ def stream_live_state(spark, sf):
     )
     _run(spark, jobs.speed_layer(jobs.as_probe_rows(rows), root, STATE_WINDOW_S))
     return serve.live_state(spark, root)
+
+
+@query
+def windows_repaired(spark, sf):
+    """The table of sliding windows after all records but a third of the last two days', and then
+    after these."""
+    root, store = fresh_path(spark, "repair"), fresh_path(spark, "repair_archive")
+    p = jobs.as_probe_rows(probes(spark, sf))
+    recent = F.col("unix_ts") >= tables.newest_event(spark, sf) - 2 * 86_400
+    late = (F.col("event_id").cast("bigint") % 3 == 0) & recent
+    for part in (p.filter(~late), p.filter(late)):
+        snapshots.append(storage.time_ordered(storage.with_hour(part)), store)
+        incremental.repair_windows(spark, store, root)
+    return incremental.stored_windows(spark, root)
+
+
+SESSION_GAPS = ("6 hours", "3 hours")
+
+
+@query
+def outage_sessions(spark, sf):
+    """Outages by silence: six hours after a critical record, three after another."""
+    return stateful.outage_sessions(probes(spark, sf), *SESSION_GAPS).drop("closed_at")
+
+
+@query
+def stream_outage_sessions(spark, sf):
+    """The same sessions from the events as a stream, as far as its watermark closes them."""
+    path = fresh_path(spark, "sessions")
+    rows = stateful.outage_sessions(tables.probes(spark, sf, stream=True), *SESSION_GAPS)
+    _run(spark, stateful.appended(rows, path))
+    return spark.read.parquet(path).drop("closed_at")
+
+
+@query
+def stream_alert_windows(spark, sf):
+    """Critical records joined with their region's outage window of an hour, two streams; those
+    that both watermarks have passed."""
+    path, hour = fresh_path(spark, "alert_windows"), 3600
+    stream = [tables.probes(spark, sf, stream=True) for _ in range(2)]
+    _run(spark, stateful.appended(stateful.alerts_with_window(*stream, hour), path))
+    passed = F.unix_seconds("alert_ts") < tables.newest_event(spark, sf) - 3 * hour
+    return spark.read.parquet(path).filter(passed)
+
+
+@query
+def stream_state_log(spark, sf):
+    """Latest state per region from the log of changes that a streaming aggregation writes."""
+    root = fresh_path(spark, "state_log")
+    _run(spark, stateful.state_log(tables.probes(spark, sf, stream=True), root, STATE_WINDOW_S))
+    now = spark.range(1).select(tables.newest_event(spark, sf)).first()[0]
+    return stateful.logged_state(spark, root, now, STATE_WINDOW_S)

@@ -213,9 +213,66 @@ def test_kept_alerts_and_metrics_take_late_records_once(spark, tmp_path):
     write_file(folder, "0.ndjson", rows[30:], 0)
     write_file(folder, "1.ndjson", [{"unix_ts": T0 + 9000, "region_id": "a"}], 1)
     write_file(folder, "2.ndjson", rows[:35], 2)  # an hour late, five of them delivered again
-    for name, writer in live.kept_tables(ndjson.probe_stream(spark, str(folder), 1), root).items():
-        run(writer, str(tmp_path / name))
+    run(live.ingest(ndjson.line_stream(spark, str(folder), 1), root), str(tmp_path / "ck"))
+    assert spark.read.parquet(f"{root}/rejects").count() == 3
     ids = {r["event_id"] for r in rows}
     alerts, metrics = live.kept_alerts(spark, root).collect(), live.kept_metrics(spark, root).collect()
     assert len(alerts) == 60 and {r["event_id"] for r in alerts} == ids
     assert len(metrics) == 3 * 61 and {r["event_id"] for r in metrics} == ids | {None}
+
+
+def test_live_system_with_hourly_runs(spark, tmp_path):
+    """Files in, hourly run, late files in, hourly run: views and windows equal those of all
+    records, and only what changed is read."""
+    from netvitals.plans import archive, incremental
+    from netvitals.streaming import run as live
+
+    rows = make_rows(300, 4 * 3600, seed=4)
+    late = [r for r in rows if r["unix_ts"] < T0 + 3600][::3]
+    soon = [r for r in rows if r not in late]
+    folder, root = tmp_path / "raw", str(tmp_path / "root")
+    write_file(folder, "0.ndjson", soon[:150], 0)
+    write_file(folder, "1.ndjson", soon[150:], 1)
+
+    def arrive():
+        for query in live.start_all(spark, str(folder), root, 300, None):
+            query.awaitTermination(120)
+            assert query.exception() is None
+
+    now = T0 + 5 * 3600
+    arrive()
+    first = live.run_hourly(spark, root, now)
+    assert len(first["cube"]) == 4
+    write_file(folder, "2.ndjson", late + soon[-3:], 2)
+    arrive()
+    second = live.run_hourly(spark, root, now)
+    assert 1 <= len(second["cube"]) <= 2
+    assert live.run_hourly(spark, root, now)["cube"] == []
+    p = ndjson.dedup_events(ndjson.read_probes(spark, str(folder)))
+    want = rounded(speed.sliding_windows(p))
+    got = live.kept_windows(spark, root)
+    assert rows_of(rounded(got.select(*want.columns))) == rows_of(want)
+    streamed = spark.read.parquet(f"{root}/streams/sliding_windows")
+    missing = incremental.late_records(streamed, incremental.stored_windows(spark, root))
+    lost = missing.join(streamed, ["window_start", "region_id"], "left_semi").agg(F.sum("late")).first()[0]
+    assert lost and lost >= len(late)
+    serve.run_merge(spark, root)
+    assert serve.serve_view(spark, root, "batch-summary").first()["total_records"] == 300
+    assert live.kept_kpis(spark, root).count() > 100
+    # retention takes the oldest hours out of archive, cube and windows
+    live.run_hourly(spark, root, T0 + 2 * 3600 + 30 * 86_400)
+    live.run_hourly(spark, root, T0 + 2 * 3600 + 30 * 86_400)
+    assert archive.read_archive(spark, f"{root}/history").agg(F.min("unix_ts")).first()[0] >= T0 + 2 * 3600
+    assert serve.serve_view(spark, root, "batch-summary").first()["total_records"] < 300
+
+
+def test_raw_copies_and_aggregates_are_forgotten(spark, probes, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "AGGREGATES_KEPT", 2)
+    root = str(tmp_path / "root")
+    for i in range(4):
+        at = T0 + i * 3600
+        row = {"event_id": f"e{i}", "region_id": "a", "unix_ts": at, "health_score": 90.0, "state": "healthy"}
+        jobs.apply_batch(probes(row), i, root)
+    hours = {p.name for p in (tmp_path / "root/raw_batches").glob("hour=*")}
+    assert len(hours) == 3
+    assert {p.name for p in (tmp_path / "root/speed/batch_aggregates").glob("batch=*")} == {"batch=2", "batch=3"}
