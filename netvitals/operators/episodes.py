@@ -125,3 +125,41 @@ def rate_drop(events: DataFrame, ratio: float = 0.5) -> DataFrame:
     return filled.filter(F.col("events") < F.col("mean_per_hour") * F.lit(ratio)).select(
         "region_id", "hour", "events", "mean_per_hour"
     )
+
+
+def seasonal_drop(
+    events: DataFrame, ratio: float = 0.5, season_h: int = 168, seasons: int = 8, least: int = 2, spread: float = 3.0
+) -> DataFrame:
+    """Hours in which a region's event count fell out of its own season: below ``ratio`` of the
+    median of the same hour in up to ``seasons`` earlier weeks (``season_h`` hours each), and by
+    more than ``spread`` median absolute deviations. At least ``least`` earlier hours are needed.
+
+    Only earlier hours are read for an hour's verdict, so later records change none. Hours without
+    an event count as 0 from a region's first hour on; the hours looked at are those in which any
+    region has an event, so a stray stamp adds one hour and no range. Counts per region and hour
+    are all that is ordered, spread over (region, hour of the season).
+    """
+    hourly = events.groupBy("region_id", F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+    hourly = hourly.filter("hour IS NOT NULL")
+    first = hourly.groupBy("region_id").agg(F.min("hour").alias("first"))
+    hours = hourly.select("hour").distinct()
+    # regions by hours, as rate_drop's grid, without the hours nobody has
+    grid = first.join(hours, F.col("hour") >= F.col("first")).select("region_id", "hour")
+    filled = grid.join(hourly, ["region_id", "hour"], "left").fillna(0, subset=["events"])
+    place = F.floor(F.unix_seconds("hour") / 3600)
+    slots = filled.withColumns({"slot": place % season_h, "season": F.floor(place / season_h)})
+    before = W.partitionBy("region_id", "slot").orderBy("season").rangeBetween(-seasons, -1)
+    past = slots.withColumn("past", F.sort_array(F.collect_list("events").over(before)))
+
+    def median(values):
+        n = F.size(values)
+        low, high = F.get(values, F.floor((n - 1) / 2).cast("int")), F.get(values, F.floor(n / 2).cast("int"))
+        return (low + high) / F.lit(2.0)
+
+    judged = past.filter(F.size("past") >= least).withColumn("median", median(F.col("past")))
+    off = F.sort_array(F.transform("past", lambda x: F.abs(x - F.col("median"))))
+    judged = judged.withColumn("mad", median(off))
+    low = (F.col("events") < F.col("median") * ratio) & (F.col("median") - F.col("events") > spread * F.col("mad"))
+    return judged.filter(low).select("region_id", "hour", "events", "median", "mad")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netvitals.functions import rules
@@ -60,6 +60,51 @@ def feed_search(feed: DataFrame, term: str) -> DataFrame:
     return feed.filter(F.contains(F.lower(text), F.lower(F.lit(term))))
 
 
+GRAM = 3
+
+
+def _search_text() -> Column:
+    text = F.concat(F.coalesce("region_name", F.lit("")), F.lit(" "), F.coalesce("country", F.lit("")))
+    return F.lower(text)
+
+
+def _grams(text: Column) -> Column:
+    """The distinct runs of three characters of a text; none of a shorter one."""
+    n = F.length(text) - (GRAM - 1)
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
+
+
+def search_index(feed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, texts, postings) of a feed, stored for `indexed_search`. Rows share few texts, so
+    texts get numbers and rows hold theirs, sorted by it; a posting is a trigram and a number,
+    sorted by trigram. The order lets a scan skip the row groups of other numbers and trigrams."""
+    named = feed.withColumn("_text", _search_text())
+    texts = settle(
+        named.groupBy("_text").agg(F.count(F.lit(1)).alias("rows")).withColumn("number", F.xxhash64("_text")),
+        "search_texts",
+    )
+    rows = named.withColumn("number", F.xxhash64("_text")).drop("_text")
+    stored = settle(rows.repartitionByRange("number").sortWithinPartitions("number"), "search_rows")
+    grams = texts.select("number", F.explode(_grams(F.col("_text"))).alias("gram"))
+    postings = grams.repartitionByRange("gram").sortWithinPartitions("gram", "number")
+    return stored, texts, settle(postings, "search_postings")
+
+
+def indexed_search(index: tuple[DataFrame, DataFrame, DataFrame], term: str) -> DataFrame:
+    """The rows of `feed_search` from an index: texts that hold all trigrams of the term, then
+    those that contain it, then their rows. A term of fewer characters is looked for in the texts
+    themselves. The term is a literal, so its trigrams are filters of the scan."""
+    rows, texts, postings = index
+    wanted = term.lower()
+    grams = sorted({wanted[i : i + GRAM] for i in range(len(wanted) - GRAM + 1)})
+    if grams:
+        listed = postings.filter(F.col("gram").isin(grams)).groupBy("number").agg(F.count(F.lit(1)).alias("n"))
+        texts = texts.join(listed.filter(F.col("n") == len(grams)).select("number"), "number", "left_semi")
+    met = texts.filter(F.contains("_text", F.lit(wanted))).select("number")
+    return rows.join(met, "number", "left_semi").drop("number")
+
+
 def live_events(feed: DataFrame, n: int = RING_SIZE) -> DataFrame:
     """The newest ``n`` feed rows, newest first."""
     return feed.orderBy(F.desc("ts"), F.desc("event_id")).limit(n)

@@ -74,6 +74,18 @@ def latency_sketch(probes: DataFrame, accuracy: int = 10_000, ordered: bool = Tr
     return _latency_view(rows, p50, p95, ordered)
 
 
+def region_means(probes: DataFrame) -> DataFrame:
+    """The means of `latency_by_region` alone, in one pass without quantiles."""
+    rows = _summed(probes, *REGION_COLUMNS)
+    return rows.select(
+        *REGION_COLUMNS,
+        F.col("n").alias("probe_count"),
+        mean("rtt").alias("avg_latency_ms"),
+        mean("loss").alias("avg_packet_loss_pct"),
+        mean("health").alias("avg_health_score"),
+    )
+
+
 def outage_frequency(probes: DataFrame) -> DataFrame:
     """Outage events per country, most affected first.
 
@@ -213,7 +225,7 @@ def region_rollup(probes: DataFrame, tasks: int | None = None) -> DataFrame:
 def top_affected(latency: DataFrame, outages: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` regions with the highest combined health and outage-count impact.
 
-    Takes :func:`latency_by_region` and :func:`outage_frequency`; the outage count is the
+    Takes :func:`latency_by_region` or :func:`region_means`, and :func:`outage_frequency`; the outage count is the
     country's, so regions of one country share it.
     """
     counts = outages.select("country_code", "outage_events", "affected_regions")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from netvitals.functions import rules
@@ -268,3 +269,44 @@ def trending_issues(
         .orderBy(F.desc("occurrences"), "region_id", "state")
         .limit(n)
     )
+
+
+#: Keys a heavy-hitter sketch follows: counts are exact while no more occur, beyond that a count
+#: is too high by the share of the rows that the sketch had to merge.
+TOP_KEYS = 1000
+
+
+def issue_panes(probes: DataFrame, pane_s: int = 3600, keys: int = TOP_KEYS) -> DataFrame:
+    """A heavy-hitter sketch of (region, bad state) pairs per pane: mergeable, of bounded size."""
+    second = F.unix_seconds("ts")
+    pane = F.timestamp_seconds(second - F.pmod(second, F.lit(pane_s)))
+    # one text, as the sketch takes plain values
+    pair = F.concat_ws("|", F.coalesce("region_id", F.lit("unknown")), F.col("state"))
+    rows = probes.filter("state != 'healthy'").select(pane.alias("pane"), pair.alias("issue"))
+    return rows.groupBy("pane").agg(F.expr(f"approx_top_k_accumulate(issue, {int(keys)})").alias("sketch"))
+
+
+def window_issues(
+    panes: DataFrame, width_s: int, pane_s: int = 3600, n: int = 5, keys: int = TOP_KEYS
+) -> DataFrame:
+    """The ``n`` most frequent issues of every window of ``width_s`` that begins at a pane, from
+    the panes' sketches: sketches are copied into windows, never records."""
+    if width_s % pane_s:
+        raise ValueError("width_s must be a multiple of pane_s")
+    starts = F.sequence(
+        F.col("pane") - F.make_dt_interval(secs=F.lit(width_s - pane_s)),
+        F.col("pane"),
+        F.make_dt_interval(secs=F.lit(pane_s)),
+    )
+    spread = panes.withColumn("window_start", F.explode(starts))
+    merged = spread.groupBy("window_start").agg(F.expr(f"approx_top_k_combine(sketch, {int(keys)})").alias("sketch"))
+    # a few more than wanted, so that equal counts can be put in order
+    found = merged.select("window_start", F.expr(f"inline(approx_top_k_estimate(sketch, {int(keys)}))"))
+    rank = F.row_number().over(W.partitionBy("window_start").orderBy(F.desc("count"), "item"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= n).select(
+        "window_start",
+        "rank",
+        F.substring_index("item", "|", -1).alias("state"),
+        F.regexp_replace("item", r"\|[^|]*$", "").alias("region_id"),
+        F.col("count").alias("occurrences"),
+    )

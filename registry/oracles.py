@@ -694,6 +694,41 @@ ORACLES: dict[str, str] = {
                (SELECT count(*) FROM (FROM first UNION FROM second)) AS in_either,
                (SELECT count(*) FROM (FROM first INTERSECT FROM second)) AS in_both"""
     ),
+    "seasonal_drop": sql(
+        f"""hourly AS (SELECT region_id, {HOUR.format('ts')} AS hour, count(*) AS events FROM probes GROUP BY 1, 2),
+        began AS (SELECT region_id, min(hour) AS first FROM hourly GROUP BY 1),
+        filled AS (
+          SELECT region_id, hour, coalesce(events, 0) AS events
+          FROM began JOIN (SELECT DISTINCT hour FROM hourly) ON hour >= first LEFT JOIN hourly USING (region_id, hour)),
+        past AS (
+          SELECT *, list(events) OVER (PARTITION BY region_id, date_part('hour', hour) ORDER BY hour
+                      RANGE BETWEEN INTERVAL 14 DAY PRECEDING AND INTERVAL 1 SECOND PRECEDING) AS before
+          FROM filled),
+        middle AS (SELECT *, list_median(before) AS median FROM past WHERE len(before) >= 2),
+        spread AS (
+          SELECT *, list_median(list_transform(before, lambda x: abs(x - median))) AS mad FROM middle) ---
+        SELECT region_id, hour, events, CAST(median AS DOUBLE) AS median, CAST(mad AS DOUBLE) AS mad
+        FROM spread WHERE events < median * 0.5 AND median - events > 3 * mad""",
+        "median", "mad",
+    ),
+    "window_issues": sql(
+        f"""starts AS (
+          SELECT {HOUR.format('ts')} - INTERVAL 1 HOUR * i AS window_start, region_id, state
+          FROM probes, (SELECT unnest(range(24)) AS i) WHERE state <> 'healthy'),
+        counted AS (SELECT window_start, region_id, state, count(*) AS occurrences FROM starts GROUP BY 1, 2, 3),
+        placed AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY window_start
+                    ORDER BY occurrences DESC, region_id || '|' || state) AS INT) AS rank FROM counted) ---
+        SELECT window_start, rank, state, region_id, occurrences FROM placed WHERE rank <= 5"""
+    ),
+    "schema_drift": sql(
+        """told AS (
+          SELECT CASE WHEN event_id % 4 = 1 THEN 'sensor' WHEN event_id % 6 < 2 THEN 'jitter_ms' END AS field,
+                 CASE WHEN event_id % 4 = 1 THEN 'OBJECT<gain: DECIMAL(1,1), id: STRING>'
+                      WHEN event_id % 2 = 0 THEN 'BIGINT' ELSE 'STRING' END AS kind
+          FROM probes) ---
+        SELECT field, kind, count(*) AS records FROM told WHERE field IS NOT NULL GROUP BY 1, 2"""
+    ),
     "windows_repaired": sql(f"{SLIDING} --- SELECT * FROM windows", *WINDOW_DOUBLES),
     "outage_sessions": sql(f"{SESSIONS} --- SELECT * EXCLUDE (closed_at) FROM sessions", *SESSION_DOUBLES),
     "stream_outage_sessions": sql(
@@ -725,3 +760,4 @@ ORACLES: dict[str, str] = {
 ORACLES["stream_outage_alerts"] = ORACLES["outage_alert_stream"]
 ORACLES["stream_live_state"] = ORACLES["state_upsert_ttl"]
 ORACLES["stream_state_log"] = ORACLES["state_upsert_ttl"]
+ORACLES["feed_search_index"] = ORACLES["feed_search"]

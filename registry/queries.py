@@ -27,7 +27,7 @@ from netvitals.operators import (
 from netvitals.plans import archive, compact, incremental, serve, snapshots, sql_views
 from netvitals.plans.shared import fresh_path, settle
 from netvitals.sources import driver_tables as tables
-from netvitals.sources import ndjson, normalize
+from netvitals.sources import drift, ndjson, normalize
 from netvitals.streaming import jobs, stateful
 
 WEEK_S = 7 * 86_400
@@ -186,8 +186,7 @@ def rank_percentiles(spark, sf):
 @query
 def top_affected(spark, sf):
     p = probes(spark, sf)
-    latency = history.latency_by_region(p, ordered=False)
-    return history.top_affected(latency, history.outage_frequency(p))
+    return history.top_affected(history.region_means(p), history.outage_frequency(p))
 
 
 @query
@@ -667,3 +666,37 @@ def stream_state_log(spark, sf):
     _run(spark, stateful.state_log(tables.probes(spark, sf, stream=True), root, STATE_WINDOW_S))
     now = spark.range(1).select(tables.newest_event(spark, sf)).first()[0]
     return stateful.logged_state(spark, root, now, STATE_WINDOW_S)
+
+
+# ---- search, seasons, heavy hitters, drift ----------------------------------------------
+
+
+@query
+def feed_search_index(spark, sf):
+    """The search of `feed_search` through a trigram index of the whole feed."""
+    return feed.indexed_search(feed.search_index(feed.feed_event(probes(spark, sf))), "COUNTRY 3")
+
+
+@query
+def seasonal_drop(spark, sf):
+    """Hours far below the same hour of earlier days, by region."""
+    return episodes.seasonal_drop(probes(spark, sf), season_h=24, seasons=14)
+
+
+@query
+def window_issues(spark, sf):
+    """The five most frequent issues of every day-long window that begins on an hour."""
+    return speed.window_issues(speed.issue_panes(probes(spark, sf)), 86_400)
+
+
+@query
+def schema_drift(spark, sf):
+    """Fields outside the schema, with their types: two are put into some of the records."""
+    lines = spark.read.text(_ndjson(spark, sf))
+    number = F.get_json_object("value", "$.event_id").cast("bigint")
+    with_sensor = F.concat(F.expr("left(value, length(value) - 1)"), F.lit(',"sensor":{"id":"s1","gain":0.5}}'))
+    with_jitter = F.concat(
+        F.expr("left(value, length(value) - 1)"), F.when(number % 2 == 0, ',"jitter_ms":7}').otherwise(',"jitter_ms":"7"}')
+    )
+    value = F.when(number % 4 == 1, with_sensor).when(number % 6 < 2, with_jitter).otherwise(F.col("value"))
+    return drift.schema_drift(drift.variant_lines(lines.select(value.alias("value"))))
