@@ -90,15 +90,17 @@ def exact_dedup(docs: DataFrame, text: Column | None = None, prefer: str = "max"
     """
     content = F.coalesce(F.col("text") if text is None else text, F.lit(""))
     kept = exact_groups(docs, text, prefer=prefer).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    kept = kept.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    kept = settle(kept.agg(F.count(F.lit(1)).alias("kept_rows")), "exact_kept")
     # The row travels as one value, so that its columns clash with nothing here.
     packed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.col("doc_id").alias("id"),
-        content.alias("content"),
         F.sha2(F.encode(content, "UTF-8"), 256).alias("sha"),
+        content.alias("content"),
     )
     same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha"))
-    # The winner's id identifies its row save for repeats, which are merged here.
-    rows = packed.join(kept, same, "left_semi").dropDuplicates(["id", "sha", "content"])
-    return rows.select("row.*")
+    # The winner's id identifies its row save for repeats, which alone are merged by content.
+    single = packed.drop("content").join(kept.filter("kept_rows = 1"), same, "left_semi")
+    repeated = packed.join(kept.filter("kept_rows > 1"), same, "left_semi").dropDuplicates(["id", "sha", "content"])
+    return single.select("row.*").unionByName(repeated.select("row.*"))
