@@ -5,21 +5,26 @@ WITH said AS (
   SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
   FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
         FROM conversations WHERE conv_id IS NOT NULL)
-), last AS (
-  SELECT conv_id, max(pos) AS n FROM said WHERE role = 'assistant' GROUP BY conv_id
+), asked AS (
+  SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM said WHERE role = 'assistant' WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+), spot AS (
+  SELECT conv_id, pos AS d FROM asked WHERE k = conv_id % n
 ), answers AS (
-  SELECT xor(conv_id, 1::BIGINT) AS conv_id, role, text FROM said JOIN last USING (conv_id) WHERE pos = n
+  SELECT xor(conv_id, 1::BIGINT) AS conv_id, role, text FROM asked WHERE k = n - 1
 ), chosen AS (
-  SELECT conv_id, pos, role, text FROM said JOIN last USING (conv_id) WHERE pos <= n
+  SELECT conv_id, pos, role, text FROM said
 ), rejected AS (
-  SELECT conv_id, pos, role, text FROM said JOIN last USING (conv_id) WHERE pos < n
-  UNION ALL
-  SELECT conv_id, n AS pos, role, text FROM answers JOIN last USING (conv_id)
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY o) AS pos, role, text
+  FROM (SELECT conv_id, pos AS o, role, text FROM said LEFT JOIN spot USING (conv_id) WHERE pos IS DISTINCT FROM d
+        UNION ALL
+        SELECT conv_id, d, role, text FROM spot JOIN answers USING (conv_id))
 ), differs AS (
   SELECT conv_id, min(pos) AS first FROM chosen c FULL JOIN rejected r USING (conv_id, pos)
   WHERE c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text GROUP BY conv_id
 ), common AS (
-  SELECT conv_id, coalesce(first - 1, n)::INT AS n_common FROM last LEFT JOIN differs USING (conv_id)
+  SELECT conv_id, coalesce(first - 1, n)::INT AS n_common
+  FROM (SELECT conv_id, max(pos) AS n FROM said GROUP BY conv_id) LEFT JOIN differs USING (conv_id)
 ), drawn AS (
   SELECT side, conv_id, pos, n_common, role,
          '<|' || replace(role, '<|', '< |') || '|>' || chr(10) AS head,

@@ -104,21 +104,28 @@ def preference_rows(pairs: DataFrame, role: str = TRAINED_ROLE) -> DataFrame:
     )
 
 
-def alternate_endings(turns: DataFrame, role: str = TRAINED_ROLE) -> DataFrame:
-    """(conv_id, chosen, rejected) from one table of conversations: a conversation up to its
-    last answer, against the same turns with the last answer of its neighbour (conv_id xor 1)
-    in that place, or none where the neighbour gives none. Conversations without an answer
-    have no pair."""
+def alternate_answers(turns: DataFrame, role: str = TRAINED_ROLE) -> DataFrame:
+    """(conv_id, chosen, rejected) from one table of conversations: every whole conversation
+    against itself with one answer replaced by the last answer of its neighbour (conv_id xor 1),
+    or left out where the neighbour has none. Of n answers it is number conv_id mod n, so pairs
+    part at different turns and go on after it. A conversation without an answer is paired with
+    itself: its completions are empty."""
     rows = conversations(turns)
-    last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == role)), F.lit(True)) + 1
-    rows = rows.withColumn("_last", F.when(F.exists("turns", lambda t: t["role"] == role), last).cast("int"))
-    rows = rows.filter("_last IS NOT NULL")
-    answers = rows.select(
+    places = F.transform("turns", lambda t, i: F.when(t["role"] == role, i + 1))
+    rows = rows.withColumn("_at", F.filter(places, lambda i: i.isNotNull()))
+    some = F.size("_at") > 0
+    number = F.when(some, F.pmod(F.col("conv_id"), F.size("_at")).cast("int"))
+    rows = rows.withColumns({"_spot": F.get("_at", number), "_last": F.get("_at", F.size("_at") - 1)})
+    answers = rows.filter("_last IS NOT NULL").select(
         F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.slice("turns", F.col("_last"), F.lit(1)).alias("_other")
     )
     none = F.array().cast("array<struct<role:string,text:string>>")
+    n = F.size("turns")
+    swapped = F.concat(
+        F.slice("turns", F.lit(1), F.col("_spot") - 1),
+        F.coalesce("_other", none),
+        F.slice("turns", F.col("_spot") + 1, n),
+    )
     return rows.join(answers, "conv_id", "left").select(
-        "conv_id",
-        F.slice("turns", F.lit(1), F.col("_last")).alias("chosen"),
-        F.concat(F.slice("turns", F.lit(1), F.col("_last") - 1), F.coalesce("_other", none)).alias("rejected"),
+        "conv_id", F.col("turns").alias("chosen"), F.coalesce(swapped, F.col("turns")).alias("rejected")
     )

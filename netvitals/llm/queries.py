@@ -16,7 +16,7 @@ from netvitals.llm.mixing import mix
 from netvitals.llm.near_dedup import near_groups
 from netvitals.llm.oracles import ORACLES
 from netvitals.llm.periodic_runs import run_digests
-from netvitals.llm.preference import alternate_endings, preference_rows
+from netvitals.llm.preference import alternate_answers, preference_rows
 from netvitals.llm.sentencepiece_codec import encode_documents
 from netvitals.llm.substring_dedup import repeated_passages
 from netvitals.llm.toxicity import score_documents
@@ -32,9 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation up to its last answer against its neighbour's answer in that place;
+    """Each conversation against itself with its neighbour's answer in the place of one of its own;
     spans as text (first-last, comma-separated)."""
-    rows = preference_rows(alternate_endings(table(spark, sf_dir, "conversations")))
+    rows = preference_rows(alternate_answers(table(spark, sf_dir, "conversations")))
 
     def shown(name):
         parts = F.transform(name, lambda s: F.concat_ws("-", s["first"], s["last"]))

@@ -137,3 +137,23 @@ def test_rows_without_id_are_spread_over_ranges(spark):
     spots = rows.select(F.substring(random_key(F.col("doc_id"), F.col("text"), "mix"), 1, 1).alias("s"))
     counts = [r["count"] for r in spots.groupBy("s").count().collect()]
     assert len(counts) == 16 and max(counts) < 400
+
+
+def test_every_conversation_gives_a_pair_that_parts_at_some_turn(spark):
+    from netvitals.llm.preference import alternate_answers, preference_rows
+
+    def talk(conv, *roles):
+        return [(conv, i, r, f"{conv}-{i}") for i, r in enumerate(roles)]
+
+    u, a = "user", "assistant"
+    rows = talk(4, u, a, u, a, u) + talk(5, u, a, u, a, u, a) + talk(6, u) + talk(7, a, u) + talk(8, u, a, u, a) + talk(3, a, a)
+    rows += [(None, 0, u, "x"), (2, None, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r.conv_id: r for r in preference_rows(alternate_answers(turns)).collect()}
+    assert set(got) == {2, 3, 4, 5, 6, 7, 8}
+    # 4 mod 2: the first answer; 5 mod 3: the last; 3 mod 2: the second; 7 and 8 have no neighbour's answer
+    assert {c: got[c].n_common for c in got} == {2: 1, 3: 1, 4: 1, 5: 5, 6: 1, 7: 0, 8: 1}
+    assert got[6].chosen == got[6].rejected == "" and got[6].chosen_spans == []
+    assert len(got[4].chosen_spans) == len(got[4].rejected_spans) == 2 and "5-5" in got[4].rejected
+    assert len(got[8].rejected_spans) == 1 and got[8].rejected.endswith("8-3<|end|>\n")
+    assert got[4].rejected.endswith("4-4<|end|>\n") and alternate_answers(turns.limit(0)).count() == 0
