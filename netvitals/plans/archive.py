@@ -16,13 +16,16 @@ from netvitals.plans import snapshots
 from netvitals.plans.shared import discard, settle
 from netvitals.plans.timeframe import hour_of
 from netvitals.schema import PROBE_COLUMNS, PROBE_DDL
-from netvitals.sources.ndjson import dedup_events, lenient_ndjson
+from netvitals.sources.ndjson import dedup_events, parsed_lines, split_parsed
 
-ARCHIVE_DDL = f"{PROBE_DDL}, ts TIMESTAMP"
+#: ``extra`` is JSON text of the fields a record has beyond the declared ones.
+ARCHIVE_DDL = f"{PROBE_DDL}, ts TIMESTAMP, extra STRING"
 
 
 def _hourly(rows: DataFrame) -> DataFrame:
-    return time_ordered(with_hour(rows).select(*PROBE_COLUMNS, "ts", "hour"))
+    if "extra" not in rows.columns:
+        rows = rows.withColumn("extra", F.lit(None).cast("string"))
+    return time_ordered(with_hour(rows).select(*PROBE_COLUMNS, "ts", "extra", "hour"))
 
 
 def append_batch(batch: DataFrame, batch_id: int, root: str, writer: str = "stream") -> snapshots.Snapshot:
@@ -40,7 +43,7 @@ def append_delivery(
 ) -> dict[str, int]:
     """Adds NDJSON files, without what is past its retention at ``as_of``; lines that are no JSON
     objects go to the table ``rejects`` if given. Returns the counts of both."""
-    rows, broken = lenient_ndjson(spark, source)
+    rows, broken = split_parsed(parsed_lines(spark.read.text(source), extra=True))
     rows = settle(rows if as_of is None else retained(rows, as_of, days), "archive_delivery")
     broken = settle(broken, "archive_rejects")
     if rejects is not None:
@@ -63,7 +66,7 @@ def compact_archive(spark: SparkSession, root: str, least: int = 2, hours=None)
     picked = [h for h in (base.hours if hours is None else hours) if len(base.folders(h)) >= least]
     if picked:
         rows = dedup_events(read_archive(spark, root, picked, base))
-        ordered = time_ordered(rows.select(*PROBE_COLUMNS, "ts", "hour"))
+        ordered = time_ordered(rows.select(*PROBE_COLUMNS, "ts", "extra", "hour"))
         snapshots.replace(ordered, root, base, picked, same_records=True)
     return sorted(picked)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netvitals.schema import PROBE_COLUMNS, PROBE_DDL
@@ -20,9 +20,18 @@ def with_time(rows: DataFrame) -> DataFrame:
     )
 
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
+def extra_of(value: Column) -> Column:
+    """The fields of a JSON object outside the declared ones as JSON text, null without any; each
+    value is kept as it was, whatever its type. Lines without such fields are not parsed again."""
+    unknown = F.array_except(F.json_object_keys(value), F.array(*[F.lit(c) for c in PROBE_COLUMNS]))
+    fields = F.from_json(value, "map<string, variant>")
+    kept = F.map_filter(fields, lambda k, v: ~k.isin(PROBE_COLUMNS))
+    return F.when(F.size(unknown) > 0, F.to_json(kept))
+
+
+def parsed_lines(lines: DataFrame, extra: bool = False) -> DataFrame:
     """(value, p, ok): text lines that are not blank, parsed once under the whole schema; ``ok``
-    tells those that are JSON objects. By an expression rather than by the JSON reader, whose
+    tells those that are JSON objects, ``extra`` adds their fields outside the schema. By an expression rather than by the JSON reader, whose
     verdict on a line depends on which columns a query selects."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json("value", f"{PROBE_DDL}, {CORRUPT} STRING", options)
@@ -30,12 +39,14 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     rows = lines.filter(F.trim("value") != "").select("value", F.explode(F.array(parsed)).alias("p"))
     doubtful = F.col("p").isNull() | F.col(f"p.{CORRUPT}").isNotNull()
     ok = F.when(doubtful, F.json_object_keys("value").isNotNull()).otherwise(True)
-    return rows.withColumn("ok", ok)
+    rows = rows.withColumn("ok", ok)
+    return rows.withColumn("extra", extra_of(F.col("value"))) if extra else rows
 
 
 def split_parsed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(probe rows, rejected lines) of `parsed_lines`."""
-    good = rows.filter("ok").select(*[F.col(f"p.{c}") for c in PROBE_COLUMNS])
+    """(probe rows, rejected lines) of `parsed_lines`, with their ``extra`` if it was asked for."""
+    more = ["extra"] if "extra" in rows.columns else []
+    good = rows.filter("ok").select(*[F.col(f"p.{c}") for c in PROBE_COLUMNS], *more)
     return with_time(good), rows.filter("NOT ok").select(F.col("value").alias("line"))
 
 

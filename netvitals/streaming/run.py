@@ -46,7 +46,7 @@ METRICS_DDL = (
 
 def ingest_batch(lines: DataFrame, batch_id: int, root: str) -> None:
     """One micro-batch of lines into the archive, the rejects and the kept tables, parsed once."""
-    rows = parsed_lines(lines).persist()
+    rows = parsed_lines(lines, extra=True).persist()
     try:
         records, broken = split_parsed(rows)
 

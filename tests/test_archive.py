@@ -225,3 +225,24 @@ def test_empty_archive(spark, root, tmp_path):
     assert snapshots.vacuum(spark, root) == 0
     assert incremental.refresh(spark, root, store) == {"cube": [], "pieces": []}
     assert incremental.stored_cube(spark, store).count() == incremental.stored_episodes(spark, store).count() == 0
+
+
+def test_unknown_fields_go_through_archive_and_compaction(spark, root, tmp_path):
+    import json
+
+    from netvitals.streaming.run import ingest_batch
+
+    lines = [
+        {"event_id": "a", "unix_ts": T0, "sensor": {"id": "s1", "gain": [1, 2.5]}, "hop_count": "x"},
+        {"event_id": "b", "unix_ts": T0 + 1}, {"event_id": "c", "unix_ts": T0 + 2, "sensor": "text", "x.y": None},
+    ]
+    values = [json.dumps(x) for x in lines] + ["{broken"]
+    live = str(tmp_path / "live")
+    ingest_batch(spark.createDataFrame([(v,) for v in values], "value string"), 0, live)
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "0.ndjson").write_text("\n".join(values))
+    assert archive.append_delivery(spark, str(source), f"{live}/history", rejects=str(tmp_path / "bad")) == {"records": 3, "rejects": 1}
+    archive.compact_archive(spark, f"{live}/history")
+    got = {r.event_id: r.extra and json.loads(r.extra) for r in archive.read_archive(spark, f"{live}/history").collect()}
+    assert got == {"a": {"sensor": {"id": "s1", "gain": [1, 2.5]}}, "b": None, "c": {"sensor": "text", "x.y": None}}
