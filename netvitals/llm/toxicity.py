@@ -180,7 +180,7 @@ def noisy(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         thrice[:-2] = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & (low[2:] < 128)
     stretched = _count(thrice, start, np.maximum(end - 2, start)) > 0
     size = end - start
-    signs = (size > 1) & (_count(_SIGN[low], start, end) == size) & (_count(_DIGIT[low], start, end) < size)
+    signs = (letters == 0) & (size > 1) & (_count(_SIGN[low], start, end) == size) & (_count(_DIGIT[low], start, end) < size)
     return ((letters > 0) & (stretched | (letters < size))) | signs
 
 
