@@ -733,7 +733,7 @@ ORACLES: dict[str, str] = {
     "outage_sessions": sql(f"{SESSIONS} --- SELECT * EXCLUDE (closed_at) FROM sessions", *SESSION_DOUBLES),
     "stream_outage_sessions": sql(
         f"""{SESSIONS} --- SELECT * EXCLUDE (closed_at) FROM sessions
-        WHERE closed_at + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM ev)""",
+        WHERE closed_at + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM probes WHERE outage_detected)""",
         *SESSION_DOUBLES,
     ),
     "stream_alert_windows": sql(
@@ -745,8 +745,8 @@ ORACLES: dict[str, str] = {
         SELECT event_id, p.region_id, ts AS alert_ts, avg_rtt_ms, packet_loss_pct, window_start,
                window_start + INTERVAL 1 HOUR AS window_end, sample_count, h.avg_health_score, outage_count, is_outage
         FROM probes p LEFT JOIN hours h
-          ON p.region_id = h.region_id AND {HOUR.format('ts')} = window_start AND is_outage, clock
-        WHERE state = 'critical' AND unix_ts < as_of - 10800""",
+          ON p.region_id = h.region_id AND {HOUR.format('ts')} = window_start AND is_outage
+        WHERE state = 'critical' AND unix_ts < (SELECT max(unix_ts) FROM probes WHERE state = 'critical') - 10800""",
         "avg_rtt_ms", "packet_loss_pct", "avg_health_score",
     ),
     # the watermark is ten minutes behind the newest event

@@ -655,7 +655,9 @@ def stream_alert_windows(spark, sf):
     path, hour = fresh_path(spark, "alert_windows"), 3600
     stream = [tables.probes(spark, sf, stream=True) for _ in range(2)]
     _run(spark, stateful.appended(stateful.alerts_with_window(*stream, hour), path))
-    passed = F.unix_seconds("alert_ts") < tables.newest_event(spark, sf) - 3 * hour
+    # the stream of critical records has the later watermark of the two
+    newest = probes(spark, sf).filter("state = 'critical'").agg(F.max("unix_ts")).scalar()
+    passed = F.unix_seconds("alert_ts") < newest - 3 * hour
     return spark.read.parquet(path).filter(passed)
 
 
