@@ -59,18 +59,26 @@ def read_archive(spark: SparkSession, root: str, hours=None, snapshot=None) -> D
     return snapshots.read(spark, root, ARCHIVE_DDL, hours, snapshot)
 
 
-def compact_archive(spark: SparkSession, root: str, least: int = 2, hours=None) -> list[str]:
-    """Rewrites hours of ``least`` folders and more (or ``hours``) as one each, without repeats of
-    an event. Readers see the old folders until the commit and the new one from then on."""
+def compact_table(
+    spark: SparkSession, root: str, ddl: str, keys: tuple[str, ...] = ("event_id",), least: int = 2, hours=None
+) -> list[str]:
+    """Rewrites hours of ``least`` folders and more (or ``hours``) of an hourly table with ``ts``
+    and ``event_id`` as one folder each, without repeats of ``keys``. Readers see the old folders
+    until the commit and the new one from then on."""
     base = snapshots.newest(spark, root)
     picked = [h for h in (base.hours if hours is None else hours) if len(base.folders(h)) >= least]
     if picked:
-        rows = dedup_events(read_archive(spark, root, picked, base))
-        ordered = time_ordered(rows.select(*PROBE_COLUMNS, "ts", "extra", "hour"))
+        rows = dedup_events(snapshots.read(spark, root, ddl, picked, base), keys=keys)
+        ordered = rows.hint("rebalance", "hour").sortWithinPartitions("hour", "ts")
         snapshots.replace(ordered, root, base, picked, same_records=True)
     return sorted(picked)
 
 
+def compact_archive(spark: SparkSession, root: str, least: int = 2, hours=None) -> list[str]:
+    """`compact_table` of the archive."""
+    return compact_table(spark, root, ARCHIVE_DDL, least=least, hours=hours)
+
+
 def expire_archive(spark: SparkSession, root: str, as_of: int, days: int = 30) -> list[str]:
     """Drops the hours that lie wholly before the retention; records without a time stay."""
     moment = F.timestamp_seconds(F.lit(as_of - days * 86_400))

@@ -54,12 +54,15 @@ def ingest_batch(lines: DataFrame, batch_id: int, root: str) -> None:
             hourly = storage.with_hour(made).hint("rebalance", "hour")
             snapshots.append(hourly, f"{root}/streams/{table}", f"b{batch_id}", ("stream", batch_id))
 
+        def reject() -> None:
+            if not broken.isEmpty():
+                stamped = broken.withColumn("received_at", F.current_timestamp())
+                stamped.write.mode("overwrite").parquet(f"{root}/rejects/batch={batch_id}")
+
         together(
             lines.sparkSession,
             lambda: archive.append_batch(records, batch_id, f"{root}/history"),
-            lambda: broken.withColumn("received_at", F.current_timestamp())
-            .write.mode("overwrite")
-            .parquet(f"{root}/rejects/batch={batch_id}"),
+            reject,
             lambda: kept("outage_alerts", feed.outage_alert_stream(records, "event_id")),
             lambda: kept("metrics_long", storage.metrics_long(records)),
         )
@@ -111,9 +114,12 @@ def run_hourly(spark: SparkSession, root: str, now: int, days: int = 30) -> dict
     """The batch views from what the archive has new, then retention and compaction."""
     done = incremental.run_incremental(spark, f"{root}/history", root)
     archive.maintain(spark, f"{root}/history", now, days)
-    for table in ("outage_alerts", "metrics_long"):
-        archive.expire_archive(spark, f"{root}/streams/{table}", now, days)
-        snapshots.vacuum(spark, f"{root}/streams/{table}")
+    tables = {"outage_alerts": (ALERTS_DDL, ("event_id",)), "metrics_long": (METRICS_DDL, ("event_id", "metric"))}
+    for name, (ddl, keys) in tables.items():
+        table = f"{root}/streams/{name}"
+        archive.expire_archive(spark, table, now, days)
+        archive.compact_table(spark, table, ddl, keys)
+        snapshots.vacuum(spark, table)
     return done
 
 

@@ -224,7 +224,7 @@ def test_kept_alerts_and_metrics_take_late_records_once(spark, tmp_path):
 def test_live_system_with_hourly_runs(spark, tmp_path):
     """Files in, hourly run, late files in, hourly run: views and windows equal those of all
     records, and only what changed is read."""
-    from netvitals.plans import archive, incremental
+    from netvitals.plans import archive, incremental, snapshots
     from netvitals.streaming import run as live
 
     rows = make_rows(300, 4 * 3600, seed=4)
@@ -259,6 +259,8 @@ def test_live_system_with_hourly_runs(spark, tmp_path):
     serve.run_merge(spark, root)
     assert serve.serve_view(spark, root, "batch-summary").first()["total_records"] == 300
     assert live.kept_kpis(spark, root).count() > 100
+    assert live.kept_metrics(spark, root).count() == 900
+    assert {len(e["folders"]) for e in snapshots.newest(spark, f"{root}/streams/metrics_long").hours.values()} == {1}
     # retention takes the oldest hours out of archive, cube and windows
     live.run_hourly(spark, root, T0 + 2 * 3600 + 30 * 86_400)
     live.run_hourly(spark, root, T0 + 2 * 3600 + 30 * 86_400)
