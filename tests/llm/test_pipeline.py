@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def turns(spark, *pairs):
@@ -56,7 +56,7 @@ def test_conversations_with_gaps(spark, tmp_path):
             (None, 0, "user", "lost"), (5, 0, "assistant", "alone"), (6, 0, "user", "no answer")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r.conv_id: r for r in QUERIES["op1_preference_chat"](spark, str(tmp_path)).collect()}
-    assert set(got) == {0, 1, 5}
+    assert set(got) == {0, 1, 5, 6} and got[6].chosen == got[6].rejected == ""
     assert "b<|end|>" in got[0].rejected and got[0].n_common == 2
     assert got[5].rejected == "" and got[5].chosen.startswith("<|assistant|>\nalone")
 
