@@ -4,11 +4,12 @@ A template of n shingles belongs to the class of the least power of two L >= n.
 windows of 3L shingles begin every L shingles, so any passage of up to 2L lies whole within
 one. A passage that holds a share c of a template's shingles has with its window a Jaccard
 similarity of at least J = c * n / (3L + (1 - c) * n). Bands are one row each; their number is
-taken from J so that a window fails to collide with probability ``miss`` at most. Retrieved
-templates are then verified by exact containment of their word shingles in the window.
+taken from J so that a window fails to collide with probability ``miss`` at most. Every
+window of every text gets its signature and looks up the templates of its class by band;
+retrieved templates are then verified by exact containment of their word shingles.
 
-A band collides only where the template's minimum is one of the window's shingles, so windows
-without any template shingle need no signature: they cannot collide.
+A window is three blocks of L shingles, so a coordinate is mixed once per shingle and reduced
+to block minima, each class from the blocks of the one below it.
 """
 
 from __future__ import annotations
@@ -97,21 +98,57 @@ class Templates:
                     self.names.append(name)
                     self.sets.append(np.unique(values))
                     self.words.append(word_shingles(form, shingle))
-        self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
         sizes = np.array([len(s) for s in self.sets], np.int64)
         self.length = np.array([1 << (int(n) - 1).bit_length() for n in sizes], np.int64)
-        likeness = [contained * n / (3 * L + (1 - contained) * n) for n, L in zip(sizes, self.length)]
-        self.bands = ceil(log(miss) / log(1 - min(likeness))) if likeness else 0
+        self.classes = [int(L) for L in np.unique(self.length)]
+        likeness = contained * sizes / (3 * self.length + (1 - contained) * sizes)
+        self.bands = {L: ceil(log(miss) / log(1 - likeness[self.length == L].min())) for L in self.classes}
+        most = max(self.bands.values(), default=0)
         rng = np.random.default_rng(2)
-        self.mul = rng.integers(0, 2**62, self.bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.signatures = np.array([self.signature(s) for s in self.sets])
-
-    def signature(self, values: np.ndarray) -> np.ndarray:
-        return mix(values[None, :] * self.mul[:, None]).min(1)
-
-    def retrieved(self, values: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """Templates among ``which`` that share a band with the window."""
-        return which[(self.signatures[which] == self.signature(np.unique(values))[None, :]).any(1)]
+        self.mul = rng.integers(0, 2**62, most, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.signatures = np.array([mix(s[None, :] * self.mul[:, None]).min(1) for s in self.sets])
+        self.index = {L: [self._band(L, band) for band in range(self.bands[L])] for L in self.classes}
+
+    def _band(self, length: int, band: int):
+        """(sorted values, their templates, marks of the values' low 16 bits) of a class's band."""
+        which = np.flatnonzero(self.length == length)
+        which = which[np.argsort(self.signatures[which, band], kind="stable")]
+        values, marks = self.signatures[which, band], np.zeros(1 << 16, bool)
+        marks[values & np.uint64(0xFFFF)] = True
+        return values, which, marks
+
+    def retrieve(self, hashes: np.ndarray, begin: np.ndarray):
+        """(class, text numbers, window numbers, templates) of windows that share a band with a
+        template of their class, each once; window k begins at shingle k * class."""
+        blocks, count = {}, np.diff(begin)
+        for L in self.classes:
+            own = -(-count // L)
+            first = np.concatenate([[0], np.cumsum(own)])
+            text = np.repeat(np.arange(len(count)), own)
+            blocks[L] = first, text, np.arange(first[-1]) - first[text]
+        found = {L: [] for L in self.classes}
+        for band, mul in enumerate(self.mul if len(hashes) else ()):
+            least, finer, below = mix(hashes * mul), 1, begin
+            for L in self.classes:
+                first, text, k = blocks[L]
+                least = np.minimum.reduceat(least, below[text] + k * (L // finer))
+                finer, below = L, first
+                if band >= self.bands[L]:
+                    continue
+                window = least.copy()
+                for ahead in (1, 2):
+                    same = text[ahead:] == text[:-ahead]
+                    np.minimum(window[:-ahead], least[ahead:], out=window[:-ahead], where=same)
+                values, which, marks = self.index[L][band]
+                at = np.flatnonzero(marks[window & np.uint64(0xFFFF)])
+                lo, hi = (np.searchsorted(values, window[at], side) for side in ("left", "right"))
+                at, lo, n = np.repeat(at, hi - lo), np.repeat(lo, hi - lo), hi - lo
+                rank = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                found[L].append(at * len(self.sets) + which[lo + rank])
+        for L in self.classes:
+            pairs = np.unique(np.concatenate(found[L])) if found[L] else np.zeros(0, np.int64)
+            at, number = np.divmod(pairs, len(self.sets))
+            yield L, blocks[L][1][at], blocks[L][2][at], number
 
 
 def word_shingles(text: str, size: int) -> set[tuple[bytes, ...]]:
@@ -125,30 +162,21 @@ def word_shingles(text: str, size: int) -> set[tuple[bytes, ...]]:
 def _scan(t: Templates, data: np.ndarray, offsets: np.ndarray):
     """(text number, template, first byte, last byte + 1, containment) of verified passages."""
     start, end, first, hashes, begin = _shingles(data, offsets, t.shingle)
-    spot = np.searchsorted(t.known, hashes)
-    hits = np.flatnonzero(t.known[np.minimum(spot, len(t.known) - 1)] == hashes)
-    text_of = np.searchsorted(begin, hits, "right") - 1
     raw = data.tobytes()
-    for L in np.unique(t.length):
-        which = np.flatnonzero(t.length == L)
-        # The windows of this class that hold a hit: they begin at multiples of L.
-        last = (hits - begin[text_of]) // L
-        pairs = np.unique(np.concatenate([np.stack([text_of, last - k], 1) for k in range(3)]), axis=0)
-        for text, k in pairs[pairs[:, 1] >= 0].tolist():
+    for L, texts, windows, templates in t.retrieve(hashes, begin):
+        at, window = None, set()
+        for text, k, number in zip(texts.tolist(), windows.tolist(), templates.tolist()):
             lo = int(begin[text] + k * L)
             hi = int(min(lo + 3 * L, begin[text + 1]))
-            near = t.retrieved(hashes[lo:hi], which)
-            if not len(near):
-                continue
             base = int(first[text] - begin[text])
-            words_end = int(min(hi + base + t.shingle - 1, first[text + 1]))
-            window = word_shingles(raw[start[lo + base] : end[words_end - 1]].decode(errors="replace"), t.shingle)
-            for number in near.tolist():
-                share = len(t.words[number] & window) / len(t.words[number])
-                if share >= t.contained:
-                    inside = lo + np.flatnonzero(np.isin(hashes[lo:hi], t.sets[number])) + base
-                    stop = min(int(inside[-1]) + t.shingle, int(first[text + 1])) - 1
-                    yield text, number, int(start[inside[0]]), int(end[stop]), share
+            if at != lo:
+                at, words_end = lo, int(min(hi + base + t.shingle - 1, first[text + 1]))
+                window = word_shingles(raw[start[lo + base] : end[words_end - 1]].decode(errors="replace"), t.shingle)
+            share = len(t.words[number] & window) / len(t.words[number])
+            if share >= t.contained:
+                inside = lo + np.flatnonzero(np.isin(hashes[lo:hi], t.sets[number])) + base
+                stop = min(int(inside[-1]) + t.shingle, int(first[text + 1])) - 1
+                yield text, number, int(start[inside[0]]), int(end[stop]), share
 
 
 def scan_licenses(

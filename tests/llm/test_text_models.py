@@ -11,7 +11,7 @@ from netvitals.llm.language_id import identify_corpus, train_languages, visible
 from netvitals.llm.licenses import TEMPLATES, Templates, scan_licenses, word_shingles
 from netvitals.llm.queries import PIECES
 from netvitals.llm.sentencepiece_codec import as_read, decode_documents, encode_documents, encode_texts, load_vocabulary
-from netvitals.llm.words import utf8
+from netvitals.llm.words import mix, utf8
 
 SF = "/root/testdata/sf0.01"
 
@@ -202,13 +202,41 @@ def test_licenses_against_containment_of_whole_texts(spark, documents, prose):
 
 def test_bands_collide_as_promised(prose):
     t = Templates(TEMPLATES, 5, 0.8, 1e-6)
-    assert 50 < t.bands < 500
+    assert all(30 < n < 500 for n in t.bands.values())
     rng = np.random.default_rng(1)
     for number, values in enumerate(t.sets):
         n, L = len(values), int(t.length[number])
         some = rng.choice(values, int(np.ceil(0.8 * n)), replace=False)
         window = np.concatenate([some, rng.integers(0, 2**63, 3 * L - len(some), dtype=np.uint64)])
-        assert number in t.retrieved(window, np.array([number]))
+        begin = np.array([0, 0, len(window)])  # an empty text stands before it
+        found = {c: (texts, windows, templates) for c, texts, windows, templates in t.retrieve(window, begin)}
+        texts, windows, templates = found[L]
+        assert (1, 0, number) in zip(texts.tolist(), windows.tolist(), templates.tolist())
+
+
+def test_bands_retrieve_what_brute_force_signatures_do():
+    """Block minima against the signature of each window's own shingles; most windows hold no
+    template shingle and retrieve nothing."""
+    t = Templates({"a": ["one two three four five six", "x y z u v w r s t q p"], "b": ["one two three four five seven"]}, 5, 0.8, 1e-6)
+    rng = np.random.default_rng(3)
+    known = np.concatenate(t.sets)
+    hashes = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    at = rng.choice(400, 60, replace=False)
+    hashes[at] = rng.choice(known, 60)
+    begin = np.array([0, 1, 1, 9, 250, 400])
+    got = {(c, *p) for c, *columns in t.retrieve(hashes, begin) for p in zip(*(x.tolist() for x in columns))}
+    want = set()
+    for number, L in enumerate(t.length.tolist()):
+        for text in range(5):
+            for k in range(-(-int(begin[text + 1] - begin[text]) // L)):
+                own = hashes[begin[text] + k * L : min(begin[text] + (k + 3) * L, begin[text + 1])]
+                mins = [mix(own * m).min() for m in t.mul[: t.bands[L]]]
+                if any(a == b for a, b in zip(mins, t.signatures[number])):
+                    want.add((L, text, k, number))
+    assert got == want and len(got) > 20
+    none = rng.integers(0, 2**63, 1000, dtype=np.uint64)
+    assert all(len(number) == 0 for _, _, _, number in t.retrieve(none, np.array([0, 1000])))
+    assert all(len(number) == 0 for _, _, _, number in t.retrieve(none[:0], np.array([0, 0])))
 
 
 # --- languages ---------------------------------------------------------------------------
