@@ -2,8 +2,8 @@
 
 A template of n shingles belongs to the class of the least power of two L >= n. For a class,
 windows of 3L shingles begin every L shingles, so any passage of up to 2L lies whole within
-one. A passage that holds a share c of a template's shingles has with its window a Jaccard
-similarity of at least J = c * n / (3L + (1 - c) * n). Bands are one row each; their number is
+one. A passage that holds m = ceil(c * n) of a template's shingles has with its window a Jaccard
+similarity of at least J = m / (3L + n - m). Bands are one row each; their number is
 taken from J so that a window fails to collide with probability ``miss`` at most. Every
 window of every text gets its signature and looks up the templates of its class by band;
 retrieved templates are then verified by exact containment of their word shingles.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netvitals.llm.words import mix, pieces, shingle_hashes, word_hashes
+from netvitals.llm.words import pieces, shingle_hashes, word_hashes
 
 #: Widely used license notices, as their licenses give them.
 TEMPLATES = {
@@ -101,12 +101,12 @@ class Templates:
         sizes = np.array([len(s) for s in self.sets], np.int64)
         self.length = np.array([1 << (int(n) - 1).bit_length() for n in sizes], np.int64)
         self.classes = [int(L) for L in np.unique(self.length)]
-        likeness = contained * sizes / (3 * self.length + (1 - contained) * sizes)
+        need = np.ceil(contained * sizes - 1e-9)
+        likeness = need / (3 * self.length + sizes - need)
         self.bands = {L: ceil(log(miss) / log(1 - likeness[self.length == L].min())) for L in self.classes}
         most = max(self.bands.values(), default=0)
-        rng = np.random.default_rng(2)
-        self.mul = rng.integers(0, 2**62, most, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.signatures = np.array([mix(s[None, :] * self.mul[:, None]).min(1) for s in self.sets])
+        self.mul = np.random.default_rng(2).integers(0, 2**31, most, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.signatures = np.array([[coordinate(s.astype(np.uint32), m).min() for m in self.mul] for s in self.sets])
         self.index = {L: [self._band(L, band) for band in range(self.bands[L])] for L in self.classes}
 
     def _band(self, length: int, band: int):
@@ -114,41 +114,66 @@ class Templates:
         which = np.flatnonzero(self.length == length)
         which = which[np.argsort(self.signatures[which, band], kind="stable")]
         values, marks = self.signatures[which, band], np.zeros(1 << 16, bool)
-        marks[values & np.uint64(0xFFFF)] = True
+        marks[values.astype(np.uint16)] = True
         return values, which, marks
 
     def retrieve(self, hashes: np.ndarray, begin: np.ndarray):
         """(class, text numbers, window numbers, templates) of windows that share a band with a
         template of their class, each once; window k begins at shingle k * class."""
-        blocks, count = {}, np.diff(begin)
+        count = np.diff(begin)
+        found = {L: [np.zeros((0, 3), np.int64)] for L in self.classes}
+        if self.classes:
+            # Texts go by the least power of two that holds them, up to the largest class.
+            width = np.minimum(1 << np.ceil(np.log2(np.maximum(count, 1))).astype(np.int64), self.classes[-1])
+            for own in np.unique(width[count > 0]).tolist():
+                self._retrieve(hashes, begin, np.flatnonzero((count > 0) & (width == own)), own, found)
         for L in self.classes:
-            own = -(-count // L)
-            first = np.concatenate([[0], np.cumsum(own)])
-            text = np.repeat(np.arange(len(count)), own)
-            blocks[L] = first, text, np.arange(first[-1]) - first[text]
-        found = {L: [] for L in self.classes}
-        for band, mul in enumerate(self.mul if len(hashes) else ()):
-            least, finer, below = mix(hashes * mul), 1, begin
+            rows = np.unique(np.concatenate(found[L]), axis=0)
+            yield L, rows[:, 0], rows[:, 1], rows[:, 2]
+
+    def _retrieve(self, hashes, begin, texts, width, found):
+        """Texts are laid out in multiples of ``width``, filled up with their last shingle, which
+        changes no minimum; so blocks halve evenly, down to one block of a short text."""
+        count = begin[texts + 1] - begin[texts]
+        full = -(-count // width) * width
+        first = np.concatenate([[0], np.cumsum(full)])
+        rank = np.arange(first[-1]) - np.repeat(first[:-1], full)
+        rank = np.minimum(rank, np.repeat(count - 1, full))
+        flat = hashes[np.repeat(begin[texts], full) + rank].astype(np.uint32)
+        for band, mul in enumerate(self.mul):
+            least, block = coordinate(flat, mul), 1
             for L in self.classes:
-                first, text, k = blocks[L]
-                least = np.minimum.reduceat(least, below[text] + k * (L // finer))
-                finer, below = L, first
+                while block < min(L, width):
+                    least, block = np.minimum(least[0::2], least[1::2]), block * 2
                 if band >= self.bands[L]:
                     continue
-                window = least.copy()
-                for ahead in (1, 2):
-                    same = text[ahead:] == text[:-ahead]
-                    np.minimum(window[:-ahead], least[ahead:], out=window[:-ahead], where=same)
+                last = first[1:] // block - 1
+                window = least
+                for _ in range(2):
+                    ahead = window.copy()
+                    np.minimum(window[:-1], window[1:], out=ahead[:-1])
+                    ahead[last] = window[last]
+                    window = ahead
                 values, which, marks = self.index[L][band]
-                at = np.flatnonzero(marks[window & np.uint64(0xFFFF)])
+                at = np.flatnonzero(marks.take(window.astype(np.uint16)))
                 lo, hi = (np.searchsorted(values, window[at], side) for side in ("left", "right"))
-                at, lo, n = np.repeat(at, hi - lo), np.repeat(lo, hi - lo), hi - lo
-                rank = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-                found[L].append(at * len(self.sets) + which[lo + rank])
-        for L in self.classes:
-            pairs = np.unique(np.concatenate(found[L])) if found[L] else np.zeros(0, np.int64)
-            at, number = np.divmod(pairs, len(self.sets))
-            yield L, blocks[L][1][at], blocks[L][2][at], number
+                n = hi - lo
+                number = which[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                at = np.repeat(at, n)
+                text = np.searchsorted(last, at)
+                k = at - first[text] // block
+                real = k * L < count[text]
+                found[L].append(np.stack([texts[text], k, number], 1)[real])
+
+
+def coordinate(values: np.ndarray, mul: np.uint32) -> np.ndarray:
+    """A bijection of 32-bit integers for each odd ``mul``; equal values stay equal, so fewer
+    bits than the shingles' own lose no collision."""
+    x = values * mul
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x2C1B3C6D)
+    x ^= x >> np.uint32(12)
+    return x
 
 
 def word_shingles(text: str, size: int) -> set[tuple[bytes, ...]]:

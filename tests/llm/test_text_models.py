@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from netvitals.llm import toxicity as tox
 from netvitals.llm.language_id import identify_corpus, train_languages, visible
-from netvitals.llm.licenses import TEMPLATES, Templates, scan_licenses, word_shingles
+from netvitals.llm.licenses import TEMPLATES, Templates, coordinate, scan_licenses, word_shingles
 from netvitals.llm.queries import PIECES
 from netvitals.llm.sentencepiece_codec import as_read, decode_documents, encode_documents, encode_texts, load_vocabulary
-from netvitals.llm.words import mix, utf8
+from netvitals.llm.words import utf8
 
 SF = "/root/testdata/sf0.01"
 
@@ -223,14 +223,14 @@ def test_bands_retrieve_what_brute_force_signatures_do():
     hashes = rng.integers(0, 2**63, 400, dtype=np.uint64)
     at = rng.choice(400, 60, replace=False)
     hashes[at] = rng.choice(known, 60)
-    begin = np.array([0, 1, 1, 9, 250, 400])
+    begin = np.array([0, 1, 1, 9, 250, 400])  # one shingle, none, few, many
     got = {(c, *p) for c, *columns in t.retrieve(hashes, begin) for p in zip(*(x.tolist() for x in columns))}
     want = set()
     for number, L in enumerate(t.length.tolist()):
         for text in range(5):
             for k in range(-(-int(begin[text + 1] - begin[text]) // L)):
                 own = hashes[begin[text] + k * L : min(begin[text] + (k + 3) * L, begin[text + 1])]
-                mins = [mix(own * m).min() for m in t.mul[: t.bands[L]]]
+                mins = [coordinate(own.astype(np.uint32), m).min() for m in t.mul[: t.bands[L]]]
                 if any(a == b for a, b in zip(mins, t.signatures[number])):
                     want.add((L, text, k, number))
     assert got == want and len(got) > 20
