@@ -14,7 +14,7 @@ _SPEED = {
 }
 _REGIONS = {
     "current_health_score": 1, "current_latency_ms": 1, "current_packet_loss": 2,
-    "hist_health_score": 1, "hist_latency_ms": 1, "hist_packet_loss": 2, "impact_score": 2,
+    "hist_health_score": 1, "hist_latency_ms": 1, "hist_p95_latency_ms": 1, "hist_packet_loss": 2, "impact_score": 2,
 }
 _GLOBAL = {
     "global_health_score": 1, "global_avg_latency": 1, "global_avg_loss": 2,

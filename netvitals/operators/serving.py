@@ -26,7 +26,8 @@ def _prefer(first: Column, second: Column, default) -> Column:
 
 def merge_regions(speed: DataFrame, batch: DataFrame, ordered: bool = True) -> DataFrame:
     """Every region of either side once: current figures from the speed side, history from
-    the batch side, each filled from the other where it is absent; worst impact first.
+    the batch side, each filled from the other where it is absent; worst impact first. The
+    history's probe count is 0 and its p95 null for a region that only the speed side knows.
 
     The speed side holds one row per region. A region whose metadata changed has several
     rows in the batch view, which lists slowest first; the last of them counts.
@@ -62,6 +63,8 @@ def merge_regions(speed: DataFrame, batch: DataFrame, ordered: bool = True) -> D
         F.coalesce("b.avg_health_score", health).alias("hist_health_score"),
         F.coalesce("b.avg_latency_ms", latency).alias("hist_latency_ms"),
         F.coalesce("b.avg_packet_loss_pct", loss).alias("hist_packet_loss"),
+        F.coalesce("b.probe_count", F.lit(0).cast("bigint")).alias("hist_probe_count"),
+        F.col("b.p95_latency_ms").alias("hist_p95_latency_ms"),
         rules.merged_impact(health, loss, is_outage).alias("impact_score"),
         F.struct(
             F.col("s.region_id").isNotNull().alias("speed_layer"),

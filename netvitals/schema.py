@@ -74,6 +74,7 @@ MERGED_DDL = REGION_DDL + """,
     current_health_score DOUBLE, current_latency_ms DOUBLE, current_packet_loss DOUBLE,
     is_outage BOOLEAN, state STRING, status STRING,
     hist_health_score DOUBLE, hist_latency_ms DOUBLE, hist_packet_loss DOUBLE,
+    hist_probe_count BIGINT, hist_p95_latency_ms DOUBLE,
     impact_score DOUBLE,
     data_sources STRUCT<speed_layer: BOOLEAN, batch_layer: BOOLEAN>, merged_at TIMESTAMP
 """

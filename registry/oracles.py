@@ -165,13 +165,14 @@ merged AS (
            coalesce(b.avg_health_score, s.avg_health_score) AS hist_health_score,
            coalesce(b.avg_latency_ms, s.avg_latency_ms) AS hist_latency_ms,
            coalesce(b.avg_packet_loss_pct, s.avg_packet_loss) AS hist_packet_loss,
+           coalesce(b.probe_count, 0) AS hist_probe_count, b.p95_latency_ms AS hist_p95_latency_ms,
            s.region_id IS NOT NULL AS from_speed, b.region_id IS NOT NULL AS from_batch
     FROM recent_agg s FULL OUTER JOIN latency b ON s.region_id = b.region_id)),
 ranked AS (
   SELECT *, row_number() OVER (ORDER BY impact_score DESC, region_id) AS rank FROM merged)"""
 MERGED_DOUBLES = (
     "current_health_score", "current_latency_ms", "current_packet_loss", "hist_health_score",
-    "hist_latency_ms", "hist_packet_loss", "impact_score",
+    "hist_latency_ms", "hist_packet_loss", "hist_p95_latency_ms", "impact_score",
 )
 
 FEED = """

