@@ -184,3 +184,26 @@ def test_passages_of_least_length_with_an_edit(documents, prose):
         assert all(p >= 70 and q <= 90 + n and q - p >= least for p, q, *_ in found)
     got = {r.doc_id for r in repeated_passages(documents(*rows)).collect()}
     assert len(got) >= 98, len(got)
+
+
+def test_a_short_head_hides_no_later_pair(documents, prose):
+    rows = []
+    for t in range(60):
+        # Of a passage of 50 words the first document holds 40; two later ones hold it whole.
+        passage = prose(50, f"short head {t}")
+        rows.append((10 * t, f"{prose(60, f'a {t}')} {' '.join(passage.split()[:40])} {prose(60, f'b {t}')}"))
+        rows += [(10 * t + i, f"{prose(60, f'c {t} {i}')} {passage} {prose(60, f'd {t} {i}')}") for i in (1, 2)]
+    got = {r.doc_id: r for r in repeated_passages(documents(*rows)).collect()}
+    assert sorted(got) == [10 * t + 2 for t in range(60)]
+    assert all(r.rep_doc_id == i - 1 and r.first_word <= 60 and r.last_word >= 110 for i, r in got.items())
+
+
+def test_lists_longer_than_their_heads_are_used_up(documents, prose):
+    # Eighty documents share a line too short to be a passage; pairs of them share a passage around it.
+    line, rows = prose(30, "line"), []
+    for t in range(40):
+        passage = f"{prose(25, f'x {t}')} {line} {prose(25, f'y {t}')}"
+        rows += [(2 * t + i, f"{prose(50, f'e {t} {i}')} {passage} {prose(50, f'f {t} {i}')}") for i in (0, 1)]
+    got = {r.doc_id: r for r in repeated_passages(documents(*rows)).collect()}
+    assert set(got) == {2 * t + 1 for t in range(40)}
+    assert all(r.first_word <= 50 and r.last_word >= 130 and r.rep_doc_id == i - 1 for i, r in got.items())
