@@ -7,6 +7,9 @@ larger than an executor's memory; a checkpoint keeps the provider it was begun w
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -111,11 +114,47 @@ def appended(rows: DataFrame, path: str) -> DataStreamWriter:
 CHANGES_DDL = schema.STATE_DDL
 
 
+#: Rows a task collects before it keeps the newest of each region and pane.
+COLLECTED = 65_536
+
+
+def _newest_of_task(pane_s: int, collected: int = COLLECTED):
+    """The newest row per region and pane among the rows of a task, as far as those of a few times
+    ``collected`` rows are kept: an aggregation of whole records would sort the task's input."""
+    width = pane_s * 1_000_000
+
+    def reduced(parts):
+        rows = pa.Table.from_batches(parts)
+        rows = rows.take(pc.sort_indices(rows, [("ts", "ascending"), ("event_id", "ascending")], null_placement="at_start"))
+        at = rows.column("ts").cast(pa.int64()).to_numpy()
+        groups = pa.table({"r": rows.column("region_id"), "p": at // width, "i": np.arange(len(at))})
+        last = groups.group_by(["r", "p"], use_threads=False).aggregate([("i", "max")]).column("i_max")
+        return rows.take(last).combine_chunks().to_batches()
+
+    def run(batches):
+        parts, size, limit = [], 0, collected
+        for batch in batches:
+            parts.append(batch)
+            size += batch.num_rows
+            if size >= limit:
+                parts = reduced(parts)
+                size = sum(p.num_rows for p in parts)
+                if size > 4 * collected:
+                    yield from parts
+                    parts, size = [], 0
+                limit = max(collected, 2 * size)
+        if size:
+            yield from reduced(parts)
+
+    return run
+
+
 def state_changes(probes: DataFrame, window_s: int = speed.WINDOW_S, lateness: str = LATENESS) -> DataFrame:
     """The newest record per region and pane of twice the window, as a streaming aggregation: the
-    state holds a row per region and open pane, is combined map-side, and goes with the
-    watermark. In update mode a batch yields the regions it has changed, nothing else."""
-    rows = latest.state_rows(probes)
+    state holds a row per region and open pane, gets the newest rows of each task, and goes with
+    the watermark. In update mode a batch yields the regions it has changed, nothing else."""
+    rows = latest.state_rows(probes).filter("ts IS NOT NULL")
+    rows = rows.mapInArrow(_newest_of_task(2 * window_s), rows.schema)
     if rows.isStreaming:
         rows = rows.withWatermark("ts", lateness)
     payload = F.struct(*[c for c in latest.STATE_COLUMNS if c not in ("region_id", "ts")], F.col("ts").alias("at"))
@@ -131,7 +170,8 @@ def state_log(probes: DataFrame, root: str, window_s: int = speed.WINDOW_S) -> D
     changed regions, stored state is neither read nor rewritten."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hourly = batch.withColumn("hour", hour_of(F.col("ts"))).coalesce(1)
+        # dealt by hour, not coalesced: that would put all partitions of the state into one task
+        hourly = batch.withColumn("hour", hour_of(F.col("ts"))).repartition("hour")
         snapshots.append(hourly, root, f"b{batch_id}", ("stream", batch_id))
 
     return state_changes(probes, window_s).writeStream.outputMode("update").foreachBatch(write)

@@ -84,3 +84,28 @@ def test_rocksdb_state(spark, arrivals, tmp_path):
         assert snapshots.read(spark, root, stateful.CHANGES_DDL).count() > 3
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_task_passes_on_its_newest_rows_only(spark, probes):
+    rows = probes(*[
+        {"event_id": str(i % 7) if i % 5 else None, "region_id": "ab"[i % 2], "unix_ts": T0 - 7200 + 600 * (i // 40)} for i in range(800)
+    ], {"event_id": "x", "region_id": None, "unix_ts": -1}, {"event_id": "y", "region_id": None, "unix_ts": 1})
+    whole = latest.state_rows(rows).coalesce(1)
+    for collected in (1, 50, 10_000):
+        kept = whole.mapInArrow(stateful._newest_of_task(3600, collected), whole.schema)
+        want = whole.groupBy("region_id", F.window("ts", "3600 seconds")).agg(F.max(F.struct("ts", "event_id")).alias("m"))
+        got = kept.groupBy("region_id", F.window("ts", "3600 seconds")).agg(F.max(F.struct("ts", "event_id")).alias("m"))
+        assert rows_of(got.select("region_id", "m.*")) == rows_of(want.select("region_id", "m.*"))
+        if collected > 800:
+            assert kept.count() == want.count()
+
+
+def test_the_state_is_not_written_by_one_task(spark, arrivals, tmp_path):
+    stages = []
+    append = snapshots.append
+    snapshots.append = lambda rows, *more: (stages.append(rows._jdf.queryExecution().toString()), append(rows, *more))[1]
+    try:
+        run(stateful.state_log(ndjson.probe_stream(spark, arrivals, 1), str(tmp_path / "log")), str(tmp_path / "ck"))
+    finally:
+        snapshots.append = append
+    assert stages and not any("Coalesce 1" in s or "Repartition 1, false" in s for s in stages)
