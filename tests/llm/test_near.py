@@ -5,7 +5,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from netvitals.llm import near_dedup as nd
-from netvitals.llm.substring_dedup import compact_windows, passages, repeated_passages
+from netvitals.llm import substring_dedup as sd
+from netvitals.llm.substring_dedup import compact_windows, passages, possible, repeated_passages
 
 
 def shingles(text, size):
@@ -207,3 +208,44 @@ def test_lists_longer_than_their_heads_are_used_up(documents, prose):
     got = {r.doc_id: r for r in repeated_passages(documents(*rows)).collect()}
     assert set(got) == {2 * t + 1 for t in range(40)}
     assert all(r.first_word <= 50 and r.last_word >= 130 and r.rep_doc_id == i - 1 for i, r in got.items())
+
+
+def test_pairs_left_out_at_once_hold_no_passage():
+    rng = np.random.default_rng(4)
+    lists = []
+    for t in range(1500):
+        words = int(rng.choice([3, 8, 30, 400]))
+        a, b = rng.integers(-words, words, rng.integers(1, 60)), rng.integers(-words, words, rng.integers(1, 60))
+        if t % 2 and len(a) > 14:  # a passage of the other with some changes
+            n = int(rng.integers(8, 15))
+            b = np.concatenate([b[:20], np.where(rng.random(n) < 0.15, 999, a[:n]), b[20:]])
+        lists.append((a.astype(np.int32), b.astype(np.int32)))
+    a_at, b_at = (np.concatenate([[0], np.cumsum([len(x[k]) for x in lists])]) for k in (0, 1))
+    a, b = (np.concatenate([x[k] for x in lists]) for k in (0, 1))
+    some = possible(a, a_at, b, b_at, 10, 80)
+    found = np.array([any(True for _ in passages(x, y, 10, 80, 0, 60)) for x, y in lists])
+    assert found.sum() > 100 and not (found & ~some).any()
+    assert np.count_nonzero(some) < 2 * np.count_nonzero(found)
+
+
+def test_a_frequent_line_asks_for_few_pairs_and_little_room(documents, prose, monkeypatch):
+    # A line in all documents, repeated in some: no passage but the one of documents 50 and 51.
+    line, whole, rows = prose(13, "line"), prose(40, "whole"), []
+    for i in range(160):
+        end = " ".join([prose(4, f"own {i}")] * 12) if i % 4 == 0 else prose(40, f"end {i}")
+        rows.append((i, f"{prose(50, f'start {i}')} {line} {whole if i in (50, 51) else end}"))
+    seen, settle = {}, sd.settle
+
+    def noted(frame, purpose):
+        out = settle(frame, purpose)
+        seen.setdefault(purpose, []).append(out)
+        return out
+
+    monkeypatch.setattr(sd, "settle", noted)
+    got = [(r.doc_id, r.rep_doc_id) for r in repeated_passages(documents(*rows)).collect()]
+    assert got == [(51, 50)]
+    # The pairs of the heads in the first step, and then none but those that may be alike.
+    assert sum(f.count() for f in seen["window_pairs"][1:]) < 20
+    for frame in seen["window_contexts"]:
+        long = frame.groupBy("key").count().filter(F.col("count") > sd.LONG_LIST)
+        assert frame.join(long, "key", "left_anti").filter("context IS NOT NULL").count() == 0
