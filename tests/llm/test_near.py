@@ -199,6 +199,22 @@ def test_a_short_head_hides_no_later_pair(documents, prose):
     assert all(r.rep_doc_id == i - 1 and r.first_word <= 60 and r.last_word >= 110 for i, r in got.items())
 
 
+def test_a_confirmed_partner_is_still_compared(documents, prose):
+    rows = []
+    for t in range(40):
+        # The second document is like the first and the third like the second, but not like the first.
+        words = prose(50, f"chain {t}").split()
+        for i, at in enumerate((None, 12, 36)):
+            if at:
+                words[at] = f"edit{i}"
+            rows.append((10 * t + i, f"{prose(60, f'a {t} {i}')} {' '.join(words)} {prose(60, f'b {t} {i}')}"))
+    docs = documents(*rows)
+    alone = {r.doc_id for r in repeated_passages(docs.filter("doc_id % 10 > 0")).collect()}
+    got = {r.doc_id: r for r in repeated_passages(docs).collect()}
+    assert len(alone) > 36 and {i for i in got if i % 10 == 2} >= alone
+    assert all(got[i].rep_doc_id == i - 1 and got[i].first_word <= 60 and got[i].last_word >= 110 for i in alone)
+
+
 def test_lists_longer_than_their_heads_are_used_up(documents, prose):
     # Eighty documents share a line too short to be a passage; pairs of them share a passage around it.
     line, rows = prose(30, "line"), []
